@@ -46,7 +46,11 @@ class Dictionary:
 
 
 def fit_dictionary(df: DataFrame, column: str) -> Dictionary:
-    seen = checkpoint(df.select(F.col(column).alias("value")).distinct())
+    return dictionary_of(checkpoint(df.select(F.col(column).alias("value")).distinct()))
+
+
+def dictionary_of(seen: DataFrame) -> Dictionary:
+    """A dictionary from a table of distinct values in column ``value``."""
     n, rows = seen.agg(F.count("value"), F.count("*")).first()
     table = with_code(seen.filter(F.col("value").isNotNull()), "value", n, "code")
     return Dictionary(table, rows, n if rows > n else UNSEEN)
@@ -73,7 +77,11 @@ class Vocabulary:
 
 def fit_vocabulary(df: DataFrame, column: str, total: Column, q: float) -> Vocabulary:
     """Values whose total lies strictly above the ``q`` quantile of all totals."""
-    totals = checkpoint(df.groupBy(F.col(column).alias("value")).agg(total.alias("total")))
+    return vocabulary_of(checkpoint(df.groupBy(F.col(column).alias("value")).agg(total.alias("total"))), q)
+
+
+def vocabulary_of(totals: DataFrame, q: float) -> Vocabulary:
+    """A vocabulary from a table with one ``total`` per ``value``."""
     threshold = quantile(totals, "total", q, totals.count())
     kept = totals.filter(F.col("total") > F.lit(threshold))
     size = kept.count()
