@@ -16,7 +16,7 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int) -> DataFrame:
     positions come from one global order by (label, key), and a row's rank in its label is
     its position minus the label's first position.
     """
-    ranked = checkpoint(with_position(df.select(key, label), label, key))
+    ranked = with_position(df.select(key, label), label, key)
     labels = checkpoint(ranked.groupBy(label).agg(F.min("position").alias("first"), F.count("*").alias("n")))
     rows = lookup_join(ranked, labels, [label], "inner", labels.count())
     rank = F.col("position") - F.col("first")
@@ -35,7 +35,7 @@ def bootstrap_draws(df: DataFrame, key: str, rounds: int, seed: int) -> DataFram
     Each draw picks a position by a seeded hash, so reruns agree whatever the partitioning.
     Draws are counted per position before they meet the rows.
     """
-    rows = checkpoint(with_position(df.select(key), key))
+    rows = with_position(df.select(key), key)
     n = rows.count()
     draws = df.sparkSession.range(n * rounds).select(
         F.floor(F.col("id") / n).cast("int").alias("round"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillroll.session import SMALL_ROWS, checkpoint, lookup_join
+from tillroll.session import SMALL_ROWS, checkpoint
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -22,9 +22,9 @@ def with_position(df: DataFrame, *order: str, name: str = "position") -> DataFra
     ordered = ordered.withColumn("_part", F.shiftright("_row", _ROW_BITS))
     sizes = ordered.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = checkpoint(sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (
-        lookup_join(ordered, offsets, ["_part"], "inner", offsets.count())
+        ordered.join(F.broadcast(offsets), "_part")  # one row per sort partition
         .withColumn(name, F.col("_offset") + F.col("_row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
         .drop("_row", "_part", "_offset")
     )

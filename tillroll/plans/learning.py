@@ -1 +1,257 @@
-"""To come."""
+"""Queries that fit models: stacking, bagging, single models, the whole ensemble.
+
+Models cannot be said in SQL. The ``*_coverage`` queries check by SQL what must hold of any
+model: each row is scored once per model, in its own fold, by probabilities that sum to 1.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillroll.operators import models as m
+from tillroll.operators import stacking
+from tillroll.operators.encode import fit_dictionary
+from tillroll.operators.folds import stratified_folds
+from tillroll.operators.neighbors import class_distances
+from tillroll.operators.probabilities import argmax_class, blend, to_long
+from tillroll.operators.scaling import fit_pca, fit_scaler
+from tillroll.plans.features import feature_lines, feature_model
+from tillroll.plans.registry import query
+from tillroll.plans.sql import TRAIN_BEFORE, with_baskets
+from tillroll.plans.vectors import _SPLIT, N_CLASSES, N_FOLDS, split_vectors
+from tillroll.session import stage
+from tillroll.sources.star import visit_attributes
+from tillroll.sources.submission import submission_frame
+
+
+def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = split_vectors(spark, sf_dir).withColumn("features", array_to_vector(F.col("vec")))
+    train = rows.filter(F.col("side") == "train").select("vec_id", "label", "fold", "vec", "features")
+    return train, rows.filter(F.col("side") == "test").select("vec_id", "label", "vec", "features")
+
+
+def _small_learners(n_rows: int) -> list:
+    """Short runs of each model family, so that a check of the plumbing stays quick."""
+    return [m.logistic(n_rows, max_iter=10), m.forest(trees=8, depth=5)]
+
+
+def _shape(probs: str = "probs") -> list:
+    total = F.aggregate(probs, F.lit(0.0), lambda acc, x: acc + x)
+    return [
+        F.size(probs).alias("n_classes"),
+        F.round(total, 6).alias("prob_total"),
+        F.forall(probs, lambda p: (p >= 0) & (p <= 1)).alias("in_range"),
+    ]
+
+
+@query("stack_oof")
+def stack_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _sides(spark, sf_dir)
+    return to_long(stacking.out_of_fold(train, _small_learners(train.count()), N_CLASSES, N_FOLDS, "vec_id"))
+
+
+_MODELS = "(select unnest(['logistic', 'forest']) as model)"
+_VALID = f"cast({N_CLASSES} as int) as n_classes, cast(1.0 as double) as prob_total, true as in_range"
+
+
+@query(
+    "stack_oof_scaled",
+    f"with {_SPLIT} select vec_id, fold, model, {_VALID} from train, {_MODELS}",
+)
+def stack_oof_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _sides(spark, sf_dir)
+    scores = stacking.out_of_fold(train, _small_learners(train.count()), N_CLASSES, N_FOLDS, "vec_id", scale=True)
+    return scores.join(train.select("vec_id", "fold"), "vec_id").select("vec_id", "fold", "model", *_shape())
+
+
+@query("stack_test", f"with {_SPLIT} select vec_id, model, {_VALID} from test, {_MODELS}")
+def stack_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _sides(spark, sf_dir)
+    scores = stacking.refit_scores(train, test, _small_learners(train.count()), N_CLASSES, "vec_id", scale=True)
+    return scores.select("vec_id", "model", *_shape())
+
+
+@query("bootstrap_draws", "select cast(i as int) as round, count(*) as rows_drawn from embeddings, range(5) r(i) group by 1")
+def bootstrap_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every round draws as many rows as there are."""
+    from tillroll.operators import folds
+    from tillroll.sources.star import vectors
+
+    draws = folds.bootstrap_draws(vectors(spark, sf_dir), "vec_id", 5, stacking.BAGGING_SEED)
+    return draws.groupBy("round").agg(F.sum("draws").alias("rows_drawn"))
+
+
+@query("bagged_probs", f"with {_SPLIT} select vec_id, {_VALID} from test")
+def bagged_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _sides(spark, sf_dir)
+    net = m.Network("net", (16,), max_iter=10)
+    return stacking.bagged_scores(train, test, net, N_CLASSES, "vec_id", rounds=3).select("vec_id", *_shape())
+
+
+def _one_model(spark: SparkSession, sf_dir: str, learner_of) -> DataFrame:
+    """Fit on the train side and score every vector: (vec_id, class, prob)."""
+    train, test = _sides(spark, sf_dir)
+    score = learner_of(train.count()).fit(train, N_CLASSES)
+    both = train.select("vec_id", "label", "features").unionByName(test.select("vec_id", "label", "features"))
+    return to_long(score(both)).select("vec_id", "class", "prob")
+
+
+@query("model_lr")
+def model_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_model(spark, sf_dir, lambda n: m.logistic(n, max_iter=20))
+
+
+@query("model_rf")
+def model_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_model(spark, sf_dir, lambda n: m.forest(trees=20, depth=6))
+
+
+@query("model_mlp")
+def model_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_model(spark, sf_dir, lambda n: m.Network("net", (32, 32), max_iter=20))
+
+
+@query("model_gbt")
+def model_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_model(spark, sf_dir, lambda n: m.Boosted("boosted", rounds=3, depth=3))
+
+
+@query("model_extra_trees")
+def model_extra_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_model(spark, sf_dir, lambda n: m.extra_trees(trees=20, depth=6))
+
+
+@query("model_adaboost")
+def model_adaboost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_model(spark, sf_dir, lambda n: m.RealAdaBoost(rounds=6, depth=4))
+
+
+# Second level on vectors.
+
+
+def _second_level(spark: SparkSession, sf_dir: str, ks: list[int]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Stacked train and test frames: vote models, logistic regression and forest."""
+    train, test = _sides(spark, sf_dir)
+    learners = _small_learners(train.count())
+    knn_train, knn_test = stacking.neighbor_scores(train, test, ks, N_CLASSES, "vec_id")
+    scores = {
+        "train": knn_train.unionByName(stacking.out_of_fold(train, learners, N_CLASSES, N_FOLDS, "vec_id")),
+        "test": knn_test.unionByName(stacking.refit_scores(train, test, learners, N_CLASSES, "vec_id")),
+    }
+    names = [f"knn_{k}" for k in ks] + [x.name for x in learners]
+    return *_stack_sides(scores, {"train": train, "test": test}, names, "forest", N_CLASSES, "vec_id"), names
+
+
+def _stack_sides(scores, sides, names, guide, n_classes, key) -> tuple[DataFrame, DataFrame]:
+    """Second-level frames of both sides. Distances are taken inside each side, to the
+    classes the ``guide`` model predicts there."""
+    near = {}
+    for side, rows in sides.items():
+        predicted = argmax_class(stacking.class_slice(scores[side], guide), key)
+        near[side] = stage(class_distances(rows.select(key, "vec").join(predicted, key), key, "best_class"))
+    far = stacking.farthest(near["train"])
+    out = []
+    for side, rows in sides.items():
+        stacked = stacking.second_level(scores[side], near[side], names, n_classes, key, far)
+        out.append(stage(stacked.join(rows.select(key, "label"), key)))
+    return out[0], out[1]
+
+
+@query(
+    "level2_matrix",
+    f"with {_SPLIT}, b as (select vec_id, label, 'train' as side from train union all select vec_id, label, 'test' from test) "
+    f"select vec_id, label, side, cast({N_CLASSES} * 4 + 3 * {N_CLASSES} as int) as width, cast(4.0 as double) as prob_total from b",
+)
+def level2_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Width and total of the probability block of every stacked row (4 models)."""
+    train, test, names = _second_level(spark, sf_dir, [10, 40])
+    both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    probs = F.slice("stacked", 1, N_CLASSES * len(names))
+    total = F.aggregate(probs, F.lit(0.0), lambda acc, x: acc + x)
+    return both.select("vec_id", "label", "side", F.size("stacked").alias("width"), F.round(total, 6).alias("prob_total"))
+
+
+def _final_blend(train, test, key, n_classes, boosted, net, rounds) -> DataFrame:
+    """Boosted trees on raw inputs, a bagged net on scaled ones, blended: (key, class, prob)."""
+    keep = [key, "label"]
+    raw_train = train.select(*keep, array_to_vector("stacked").alias("features"))
+    raw_test = test.select(*keep, array_to_vector("stacked").alias("features"))
+    scaler = fit_scaler(train, "stacked")
+    net_train = train.select(*keep, array_to_vector(scaler.apply("stacked")).alias("features"))
+    net_test = test.select(*keep, array_to_vector(scaler.apply("stacked")).alias("features"))
+    by_trees = to_long(stage(boosted.fit(raw_train, n_classes)(raw_test).select(key, "probs")))
+    by_net = to_long(stacking.bagged_scores(net_train, net_test, net, n_classes, key, rounds))
+    return blend(by_trees, by_net, key)
+
+
+@query("level2_predict")
+def level2_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test, _ = _second_level(spark, sf_dir, [10, 40])
+    boosted, net = m.Boosted("final", rounds=3, depth=3), m.Network("final_net", (16,), max_iter=10)
+    return _final_blend(train, test, "vec_id", N_CLASSES, boosted, net, rounds=2)
+
+
+# The whole job on baskets: features, stacking, second level, blend, one row per visit.
+
+N_TRIP_TYPES = 5
+
+
+@query(
+    "visit_class_probs",
+    with_baskets(f"""
+select distinct visit_number, cast({N_TRIP_TYPES} as int) as n_classes, true as in_range
+from c where visit_day >= date '{TRAIN_BEFORE}'"""),
+)
+def visit_class_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = visit_submission(spark, sf_dir)
+    columns = [c for c in wide.columns if c != "visit_number"]
+    ok = F.forall(F.array(*columns), lambda p: (p >= 0) & (p <= 1))
+    return wide.select("visit_number", F.lit(len(columns)).alias("n_classes"), ok.alias("in_range"))
+
+
+def visit_submission(spark: SparkSession, sf_dir: str, ks: tuple[int, ...] = (10, 40)) -> DataFrame:
+    """Blended class probabilities of every test-side visit, one column per trip type."""
+    fitted = feature_model(spark, sf_dir)
+    visits = visit_attributes(spark, sf_dir)
+    lines = feature_lines(spark, sf_dir)
+    labels = fit_dictionary(visits, "trip_type")
+    coded = labels.encode(visits, "trip_type", "label").select("visit_number", "visit_day", "label")
+    is_train = F.col("visit_day") < F.lit(TRAIN_BEFORE)
+
+    raw = fitted.vectors(lines, visits).join(coded, "visit_number")
+    logged = fitted.vectors(lines, visits, log=True).join(coded, "visit_number")
+    folds = stage(stratified_folds(raw.filter(is_train), "visit_number", "label", N_FOLDS).select("visit_number", "fold"))
+
+    # Vote models and distances in the space of principal components of the log features.
+    dense = logged.select("visit_number", "label", "visit_day", vector_to_array("features").alias("vec"))
+    scaler = fit_scaler(dense.filter(is_train))
+    scaled = stage(scaler.transform(dense))
+    pca = fit_pca(scaled.filter(is_train), min(100, fitted.width(log=True)))
+    space = stage(pca.transform(scaled).join(folds, "visit_number", "left"))
+    train, test = space.filter(is_train), space.filter(~is_train)
+    knn_train, knn_test = stacking.neighbor_scores(train, test, list(ks), labels.size, "visit_number")
+
+    # Trees on the raw sparse features, logistic regression on the log features scaled per fold.
+    raw = stage(raw.join(folds, "visit_number", "left"))
+    nets = stage(logged.join(folds, "visit_number", "left"))
+    n_train = train.count()
+    trees = [m.Boosted("boosted", rounds=2, depth=3), m.forest(trees=5, depth=5)]
+    linear = [m.logistic(n_train, max_iter=5)]
+    key, k = "visit_number", labels.size
+    scores = {
+        "train": knn_train.unionByName(stacking.out_of_fold(raw.filter(is_train), trees, k, N_FOLDS, key)).unionByName(
+            stacking.out_of_fold(nets.filter(is_train), linear, k, N_FOLDS, key, scale=True)
+        ),
+        "test": knn_test.unionByName(
+            stacking.refit_scores(raw.filter(is_train), raw.filter(~is_train), trees, k, key)
+        ).unionByName(stacking.refit_scores(nets.filter(is_train), nets.filter(~is_train), linear, k, key, scale=True)),
+    }
+    names = [f"knn_{n}" for n in ks] + [x.name for x in trees + linear]
+    sides = {"train": train, "test": test}
+    stacked_train, stacked_test = _stack_sides(scores, sides, names, "boosted", k, key)
+    final, net = m.Boosted("final", rounds=2, depth=3), m.Network("final_net", (16,), max_iter=5)
+    long = _final_blend(stacked_train, stacked_test, key, k, final, net, rounds=2)
+    columns = [f"TripType_{r.value}" for r in labels.table.orderBy("code").collect()]  # one per class
+    return submission_frame(long, columns)
