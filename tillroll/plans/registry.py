@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from tillroll.plans import baskets, features, learning, vectors  # noqa: F401
+    from tillroll.plans import baskets, features, vectors, files, learning  # noqa: F401, I001
