@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.scalar import FINELINE_SENTINEL, fineline_or_sentinel, guarded_ratio, units, upc_or_sentinel
+from tillroll.session import SMALL_ROWS, stage
 
 KEY = "visit_number"
+HOT_LINES = 1_000_000  # a visit with more lines is joined by broadcast
 
 # Names of the visit features in output order, and those put on a log scale.
 BASIC_FEATURES = (
@@ -34,13 +36,17 @@ def _flag(condition: Column) -> Column:
 def department_spread(lines: DataFrame) -> DataFrame:
     """Min, max, mean and range over departments of the units per department, and their sum."""
     per_department = lines.groupBy(KEY, "department").agg(F.sum(units()).alias("u"))
-    return per_department.groupBy(KEY).agg(
-        F.min("u").alias("Min"),
-        F.max("u").alias("Max"),
-        F.avg("u").alias("Mean"),
-        (F.max("u") - F.min("u")).alias("Range"),
-        F.sum("u").alias("Sum"),
-    )
+    return per_department.groupBy(KEY).agg(*spread_of("u"))
+
+
+def spread_of(u: str | Column) -> list[Column]:
+    return [
+        F.min(u).alias("Min"),
+        F.max(u).alias("Max"),
+        F.avg(u).alias("Mean"),
+        (F.max(u) - F.min(u)).alias("Range"),
+        F.sum(u).alias("Sum"),
+    ]
 
 
 def visit_flags(lines: DataFrame) -> DataFrame:
@@ -100,30 +106,36 @@ def visit_summary(lines: DataFrame) -> DataFrame:
     by_department = grain == _BY_DEPARTMENT
     per_department = F.when(by_department, F.col("u"))
     summary = _grains(lines).groupBy(KEY).agg(
-        F.min(per_department).alias("Min"),
-        F.max(per_department).alias("Max"),
-        F.avg(per_department).alias("Mean"),
-        (F.max(per_department) - F.min(per_department)).alias("Range"),
+        *spread_of(per_department),
         F.max(F.when(by_department & F.col("department").isNull(), 1).otherwise(0)).alias("Null"),
         F.max("neg").alias("Has_Neg"),
         F.max("nofine").alias("Missing"),
         F.count_if(grain == _BY_FINELINE).alias("N_Fineline"),
         F.count_if(grain == _BY_UPC).alias("N_Upc"),
         F.count_if(by_department).alias("N_Dep"),
-        F.sum(per_department).alias("Sum"),
     )
     return with_ratios(summary).select(KEY, *BASIC_FEATURES)
 
 
-def lines_with_totals(lines: DataFrame) -> DataFrame:
+def lines_with_totals(lines: DataFrame, hot_lines: int = HOT_LINES) -> DataFrame:
     """Each line with the totals of its visit.
 
-    Totals are aggregated first and joined back, instead of a window over the visit, and
-    are repartitioned so that both join inputs are plain shuffles: adaptive execution can
-    then split the lines of a hot visit over several tasks.
+    Totals are aggregated first and joined back, instead of a window over the visit. Visits
+    with very many lines are few, so their totals are broadcast to their lines, which then
+    need no shuffle; the other lines meet their totals in a shuffled join.
     """
-    totals = department_spread(lines).repartition(KEY)
-    return lines.join(totals, KEY, "left")
+    per_department = lines.groupBy(KEY, "department").agg(F.sum(units()).alias("u"), F.count("*").alias("n"))
+    totals = stage(per_department.groupBy(KEY).agg(*spread_of("u"), F.sum("n").alias("_lines")))
+    n_lines = totals.agg(F.sum("_lines")).first()[0] or 0
+    # At most SMALL_ROWS visits can have more than this many lines.
+    is_hot = F.col("_lines") > max(hot_lines, n_lines // SMALL_ROWS)
+    hot = totals.filter(is_hot).drop("_lines")
+    cold = totals.filter(~is_hot).drop("_lines")
+    if hot.isEmpty():
+        return lines.join(cold, KEY, "left")
+    of_hot = lines.join(F.broadcast(hot), KEY)
+    of_cold = lines.join(F.broadcast(hot.select(KEY)), KEY, "left_anti").join(cold, KEY, "left")
+    return of_hot.unionByName(of_cold)
 
 
 def distinct_visits(lines: DataFrame, *attributes: str) -> DataFrame:

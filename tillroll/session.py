@@ -78,5 +78,5 @@ def lookup_join(left: DataFrame, table: DataFrame, on: list[str], how: str, rows
         return left.join(F.broadcast(table), on, how)
     others = [c for c in left.columns if c not in on]
     salt = F.pmod(F.xxhash64(*others) if others else F.monotonically_increasing_id(), F.lit(SALTS))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
     return left.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
