@@ -12,14 +12,14 @@ def test_read_missing_values(spark, tmp_path):
     path = tmp_path / "train.csv"
     path.write_text(
         '"TripType","VisitNumber","Weekday","Upc","ScanCount","DepartmentDescription","FinelineNumber"\n'
-        '999,5,"Friday",68113152929,-1,"FINANCIAL SERVICES",1000\n'
+        '999,5,"Friday",40000000001,-1,"GARDEN",1000\n'
         '30,7,"Friday",,1,"NULL",\n'
-        '30,7,"Friday",7410811099,2,"COOK, AND DINE",8931\n'
+        '30,7,"Friday",5000000002,2,"POTS, PANS",31\n'
     )
     rows = read_transactions(spark, str(path)).orderBy("visit_number", "scan_count").collect()
-    assert tuple(rows[0]) == (999, 5, "Friday", 68113152929, -1, "FINANCIAL SERVICES", 1000)
+    assert tuple(rows[0]) == (999, 5, "Friday", 40000000001, -1, "GARDEN", 1000)
     assert (rows[1].upc, rows[1].department, rows[1].fineline) == (None, None, None)
-    assert rows[2].department == "COOK, AND DINE"
+    assert rows[2].department == "POTS, PANS"
 
 
 def test_submission_follows_template(spark, tmp_path):

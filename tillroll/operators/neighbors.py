@@ -262,8 +262,10 @@ def nearest(
         targets = sorted({int(p) for p in cells.part})
         q = q.withColumn("target", F.explode(F.array(*[F.lit(t) for t in targets])))
     best = Window.partitionBy("qid", "target").orderBy("dist", "rid")
-    found = _search(_routed(q, cells, mode, k, bounded=False), assigned, cells, k, block_rows)
-    if len(cells.part) > (parts if mode == "each" else 1):
+    if len(pivots) == 1:  # one cell per part: nothing to rule out, visit all at once
+        found = _search(_routed(q, cells, mode, n, bounded=False), assigned, cells, k, block_rows)
+    else:
+        found = _search(_routed(q, cells, mode, k, bounded=False), assigned, cells, k, block_rows)
         found = stage(found)
         ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
         kth = F.when(F.count("*") >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("bound")
