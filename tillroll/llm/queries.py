@@ -5,10 +5,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import langid, toxicity
+from tillroll.llm import langid, pieces, secrets, toxicity
 from tillroll.llm.batches import held_out, learnable
 from tillroll.session import ship
 
@@ -50,3 +51,15 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(learnable()))
     found = langid.identify(docs, model)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op7_secrets")
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.digest(secrets.scan(docs, secrets.fit(docs)))
+
+
+@query("op8_sentencepiece")
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
