@@ -71,26 +71,3 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 30)
 def sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
-
-class Memo:
-    """Results by word in two generations of bounded size: words met again stay, others go."""
-
-    def __init__(self, compute: Callable[[list[str]], list], size: int = 200_000) -> None:
-        self.compute, self.size = compute, size
-        self.now: dict[str, object] = {}
-        self.old: dict[str, object] = {}
-
-    def of(self, lists: list[list[str]]) -> Callable[[str], object]:
-        """A look-up that has all words of the lists."""
-        if len(self.now) > self.size:
-            self.old, self.now = self.now, {}
-        now, old, missing = self.now, self.old, []
-        for word in set().union(*lists).difference(now):
-            if word in old:
-                now[word] = old[word]
-            else:
-                missing.append(word)
-        for at in range(0, len(missing), 20_000):
-            some = missing[at : at + 20_000]
-            now.update(zip(some, self.compute(some)))
-        return now.__getitem__

@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.batches import Batches, Memo, batch_of, map_batches, texts_of
+from tillroll.llm.batches import Batches, batch_of, map_batches, texts_of
+from tillroll.llm.words import WordStore, code_points, groups, ranges
 
 SPACE = "▁"
 NO_PAIR = np.int64(1 << 40)
@@ -73,17 +74,24 @@ class PieceModel:
         at = np.argsort(np.array(keys, np.int64))
         self.keys = np.array(keys, np.int64)[at]
         self.ranks, self.merged = np.array(ranks, np.int64)[at], np.array(merged, np.int64)[at]
-        # A word starts at a run of blanks; characters of no longer piece stand alone.
-        joined = {c for p in normal if len(p) > 1 for c in p}
-        alone = "".join(c for c in "\n\t\r" if c not in joined)
+        # Symbol of each character; one that no piece holds is a symbol of its own.
+        self.of_char = np.arange(0x110000, dtype=np.int64) + self.first_other
+        for c, i in symbols.items():
+            if len(c) == 1:
+                self.of_char[ord(c)] = i
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in normal):
             raise ValueError("no piece may hold a blank inside")
-        cls = f"[{alone}]|" if alone else ""
-        self.words = re.compile(f"{cls}{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+").findall
-        self._memo = Memo(self._results)
-
-    def split(self, text: str) -> list[str]:
-        return self.words(SPACE + text.replace(" ", SPACE)) if text else []
+        # A word starts at a run of blanks; characters of no longer piece stand alone.
+        joined = {c for p in normal if len(p) > 1 for c in p}
+        self.alone = np.array([ord(c) for c in "\n\t\r" if c not in joined], np.uint32)
+        ends = np.cumsum([len(r) for r in self.raw])
+        self.raw_sizes = np.array([len(r) for r in self.raw])
+        self.raw_starts, self.raw_bytes = ends - self.raw_sizes, np.frombuffer(b"".join(self.raw), np.uint8)
+        digits = [f"{i},".encode() for i in range(len(self.pieces))]
+        self.number_sizes = np.array([len(d) for d in digits])
+        self.number_starts = np.cumsum(self.number_sizes) - self.number_sizes
+        self.number_bytes = np.frombuffer(b"".join(digits), np.uint8)
+        self.store = WordStore(self.encode_words, self.kind)
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged symbol of pairs."""
@@ -92,14 +100,9 @@ class PieceModel:
         hit = self.keys[at] == key
         return np.where(hit, self.ranks[at], NO_PAIR), np.where(hit, self.merged[at], -1)
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all (non-empty) words in turn, and where those of each word end."""
-        joined = "".join(words)
-        code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        chars, back = np.unique(code, return_inverse=True)
-        others = np.arange(self.first_other, self.first_other + len(chars))
-        sym = np.array([self.symbols.get(chr(c), o) for c, o in zip(chars, others)], np.int64)[back]
-        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    def encode_words(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all (non-empty) words in turn, and how many each has."""
+        sym, word = self.of_char[codes], np.repeat(np.arange(len(sizes)), sizes)
         done: list[tuple[np.ndarray, np.ndarray]] = []
         rank, new = self._ranked(sym, word)
         while len(sym):
@@ -137,14 +140,12 @@ class PieceModel:
             marked[touched] = marked[np.maximum(touched - 1, 0)] = True
             touched = np.flatnonzero(marked)
             rank[touched], new[touched] = self._ranked(sym, word, touched)
-        if not done:
-            return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
         owner, ids = np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])
         by = np.argsort(owner, kind="stable")
         owner, ids = owner[by], ids[by]
         if (ids >= len(self.pieces)).any():
-            owner, ids = self._as_bytes(owner, ids, {v: k for k, v in self.symbols.items()} | {int(o): chr(c) for c, o in zip(chars, others)})
-        return ids, np.searchsorted(owner, np.arange(len(words)), side="right")
+            owner, ids = self._as_bytes(owner, ids)
+        return ids, np.bincount(owner, minlength=len(sizes))
 
     def _ranked(self, sym: np.ndarray, word: np.ndarray, at: np.ndarray | None = None):
         """Rank and merged symbol of the pairs that begin at the places."""
@@ -166,9 +167,12 @@ class PieceModel:
         out[at[run % 2 == 0]] = True
         return out
 
-    def _as_bytes(self, owner, ids, names):
+    def _as_bytes(self, owner: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes in the place of symbols that are no piece."""
         others = np.flatnonzero(ids >= len(self.pieces))
-        raw = {int(i): self.bytes[list(names[int(i)].encode())] for i in np.unique(ids[others])}
+        names = {i: s for s, i in self.symbols.items() if len(s) == 1 and i >= len(self.pieces)}
+        name = lambda i: names[i] if i < self.first_other else chr(i - self.first_other)
+        raw = {i: self.bytes[list(name(i).encode("utf-8", "replace"))] for i in np.unique(ids[others]).tolist()}
         sizes = np.ones(len(ids), np.int64)
         sizes[others] = [len(raw[i]) for i in ids[others].tolist()]
         out, starts = np.repeat(ids, sizes), np.cumsum(sizes) - sizes
@@ -176,30 +180,38 @@ class PieceModel:
             out[at : at + len(raw[i])] = raw[i]
         return np.repeat(owner, sizes), out
 
-    def _results(self, words: list[str]) -> list[tuple[str, bytes]]:
-        """Of each word, its ids as text and as bytes."""
-        width = self.kind.itemsize
-        ids, ends = self.encode_words(words)
-        raw, listed, ends = ids.astype(self.kind).tobytes(), list(map(str, ids.tolist())), ends.tolist()
-        return [(",".join(listed[a:b]), raw[a * width : b * width]) for a, b in zip([0, *ends], ends)]
-
-    def encode_batch(self, texts: list[str]) -> list[tuple[str, np.ndarray]]:
-        """Of each text, its ids as text (comma-joined) and as an array."""
-        split = [self.split(t) for t in texts]
-        look = self._memo.of(split)
-        out = []
-        for words in split:
-            found = list(map(look, words))
-            out.append((",".join([f[0] for f in found]), np.frombuffer(b"".join([f[1] for f in found]), self.kind)))
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        out: list[np.ndarray] = []
+        for first, last in groups(texts):
+            some = [SPACE + t if t else "" for t in texts[first:last]]
+            codes = code_points("".join(some)).copy()
+            codes[codes == ord(" ")] = ord(SPACE)
+            heads = np.cumsum([0] + [len(t) for t in some])
+            begins = np.zeros(len(codes) + 1, bool)
+            begins[heads] = True
+            blank, alone = codes == ord(SPACE), np.isin(codes, self.alone)
+            begins[1:-1] |= (blank[1:] & ~blank[:-1]) | alone[1:] | alone[:-1]
+            begins[-1] = False
+            starts = np.flatnonzero(begins)
+            ids, counts = self.store.look_up(codes, starts)
+            total = np.concatenate([[0], np.cumsum(counts)])
+            cuts = total[np.searchsorted(starts, heads)]
+            out += [ids[a:b] for a, b in zip(cuts, cuts[1:])]
         return out
 
+    def numbers(self, ids: np.ndarray) -> bytes:
+        """The ids in decimals, joined by commas."""
+        at = ids.astype(np.int64)
+        return self.number_bytes[ranges(self.number_starts[at], self.number_sizes[at])].tobytes()[:-1]
+
     def encode(self, text: str) -> list[int]:
-        return self.encode_batch([text])[0][1].tolist()
+        return self.encode_batch([text])[0].tolist()
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: pieces joined, bytes put together, without the dummy prefix."""
-        raw = self.raw
-        whole = b"".join([raw[i] for i in ids.tolist()])
+        at = ids.astype(np.int64)
+        whole = self.raw_bytes[ranges(self.raw_starts[at], self.raw_sizes[at])].tobytes()
         try:
             text = whole.decode()
         except UnicodeDecodeError:  # bytes that form no character become U+FFFD, each alone
@@ -234,7 +246,7 @@ def tokenize(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "te
     def run(batches: Batches) -> Batches:
         model = load(path)
         for batch in batches:
-            ids = [i for _, i in model.encode_batch(texts_of(batch))]
+            ids = model.encode_batch(texts_of(batch))
             yield batch_of(
                 doc_id=batch.column("doc_id"),
                 ids=pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())),
@@ -256,9 +268,9 @@ def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
             found = model.encode_batch(texts_of(batch))
             yield batch_of(
                 doc_id=batch.column("doc_id"),
-                n_tokens=pa.array([len(i) for _, i in found], pa.int64()),
-                ids_sha256=pa.array([sha(s.encode()) for s, _ in found], pa.string()),
-                decoded_sha256=pa.array([sha(model.decode(i).encode()) for _, i in found], pa.string()),
+                n_tokens=pa.array([len(i) for i in found], pa.int64()),
+                ids_sha256=pa.array([sha(model.numbers(i)) for i in found], pa.string()),
+                decoded_sha256=pa.array([sha(model.decode(i).encode()) for i in found], pa.string()),
             )
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import langid, pieces, secrets, toxicity
+from tillroll.llm import langid, packing, pieces, secrets, toxicity
 from tillroll.llm.batches import held_out, learnable
 from tillroll.session import ship
 
@@ -63,3 +63,15 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+BYTE_BPE = (
+    public_tokenizers.path("byte_bpe_50k.json"),
+    public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    public_tokenizers.PATTERN,
+)
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
