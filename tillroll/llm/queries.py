@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import langid, packing, pieces, secrets, toxicity
+from tillroll.llm import langid, neardup, packing, pieces, secrets, toxicity
 from tillroll.llm.batches import held_out, learnable
 from tillroll.session import ship
 
@@ -37,6 +37,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_simhash_neardup")
+def op2_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 @query("op3_toxicity")
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
