@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import langid, neardup, packing, pieces, secrets, toxicity
+from tillroll.llm import fingerprints, langid, neardup, packing, pieces, secrets, toxicity
 from tillroll.llm.batches import held_out, learnable
 from tillroll.session import ship
 
@@ -81,3 +81,8 @@ BYTE_BPE = (
 @query("op6_packing")
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query("op10_fingerprints")
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
