@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Rows and bytes of one Arrow batch; one row may be larger than the bytes.
 ROWS = 1024
@@ -16,7 +17,7 @@ BYTES = 16 << 20
 Batches = Iterator[pa.RecordBatch]
 
 
-def map_batches(df: DataFrame, fn: Callable[[Batches], Batches], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[Batches], Batches], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with small batches (sets the session's Arrow batch limits)."""
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
@@ -34,6 +35,18 @@ def batch_of(**columns: object) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
+def keep_batches(docs: DataFrame, keep: Callable[[list[str]], np.ndarray], text: str = "text") -> DataFrame:
+    """The rows, all columns as they are, for whose texts ``keep`` says true."""
+    at = docs.columns.index(text)
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(keep(texts), pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)
+
+
 def learnable(doc_id: str = "doc_id"):
     """Column: may the row's label be learnt from? (crc32 of the id as text, mod 4, is not 2)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 != 2, F.lit(False))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.batches import Batches, batch_of, map_batches, texts_of
+from tillroll.llm.batches import Batches, batch_of, keep_batches, map_batches, texts_of
 
 BUCKETS = 1 << 14
 DIM = 16
@@ -206,3 +206,8 @@ def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return map_batches(rows, run, f"doc_id {kind}, lang_pred string, score double, rejected boolean")
+
+
+def keep(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The documents (all columns) whose prediction is not rejected."""
+    return keep_batches(docs, lambda texts: ~model.predict(texts)[2])

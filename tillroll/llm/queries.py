@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import fingerprints, langid, neardup, packing, pieces, secrets, toxicity
+import corpus_pipeline
+
+from tillroll.llm import fingerprints, forest, langid, neardup, packing, pieces, quality, secrets, toxicity, urlfilter
 from tillroll.llm.batches import held_out, learnable
 from tillroll.session import ship
 
@@ -37,6 +39,73 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dated(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Captures and list entries of the pages: dates and actions come from the digest of the URL.
+
+    About a third of the pages each add an event for their host, host's domain, first path segment or URL.
+    """
+    number = lambda at: F.conv(F.substring("h", at, 4), 16, 10).cast("int")
+    rows = pages.select("page_id", "url", F.md5("url").alias("h")).withColumn("host", urlfilter.host(F.col("url")))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), number(1) % 730)
+    captures = rows.select("page_id", "url", day.alias("fetched_on"))
+    kind, sort = F.substring("h", 5, 1), F.substring("h", 6, 1)
+    labels = F.split("host", r"\.")
+    key = (
+        F.when(kind < "2", F.concat(F.lit("d:"), "host"))
+        .when(kind == "2", F.concat(F.lit("p:"), "host", F.lit("/"), F.get(urlfilter.segments(F.col("url")), 0)))
+        .when(kind == "3", F.concat(F.lit("u:"), "url"))
+        .when(kind == "4", F.concat(F.lit("d:"), F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")))
+    )
+    action = F.when(sort < "8", "block").when(sort < "b", "allow").otherwise("remove")
+    listed = F.date_add(F.lit("2023-06-01").cast("date"), number(7) % 900)
+    entries = rows.where("host <> ''").select(key.alias("key"), action.alias("action"), listed.alias("listed_on"))
+    return captures, entries.where("key is not null")
+
+
+_OP1_SQL = r"""
+with rows_ as (
+  select page_id, url, md5(url) as h,
+    lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)', 1)) as host,
+    list_filter(string_split(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') as parts
+  from pages),
+captures as (
+  select page_id, url, host, parts, string_split(host, '.') as labels,
+    (date '2024-01-01' + (cast('0x' || substr(h, 1, 4) as integer) % 730)) as fetched_on from rows_),
+listed as (
+  select case when substr(h, 5, 1) < '2' then 'd:' || host
+      when substr(h, 5, 1) = '2' then 'p:' || host || '/' || parts[1]
+      when substr(h, 5, 1) = '3' then 'u:' || url
+      when substr(h, 5, 1) = '4' then 'd:' || array_to_string(string_split(host, '.')[-2:], '.') end as key,
+    case when substr(h, 6, 1) < '8' then 3 when substr(h, 6, 1) < 'b' then 2 else 1 end as level,
+    date '2023-06-01' + (cast('0x' || substr(h, 7, 4) as integer) % 900) as day
+  from rows_ where host <> ''),
+events as (select key, day, max(level) as level from listed where key is not null group by all),
+spans as (
+  select * from (select key, level, day as valid_from, lead(day) over (partition by key order by day) as valid_to from events)
+  where level > 1),
+asked as (
+  select distinct url, fetched_on, unnest(list_concat(list_concat(
+    list_transform(range(1, len(labels) + 1), lambda i: {'key': 'd:' || array_to_string(labels[i:], '.'), 'rank': len(labels) - i + 1}),
+    list_transform(range(1, len(parts) + 1), lambda i: {'key': 'p:' || host || '/' || array_to_string(parts[1:i], '/'), 'rank': 1000 + i})),
+    [{'key': 'u:' || url, 'rank': 1000000}])) as c
+  from captures where host <> ''),
+hits as (
+  select a.url, a.fetched_on, s.key, s.level, s.valid_from,
+    row_number() over (partition by a.url, a.fetched_on order by a.c.rank desc, s.key desc) as n
+  from asked a join spans s on s.key = a.c.key and s.valid_from <= a.fetched_on
+    and (s.valid_to is null or a.fetched_on < s.valid_to))
+select c.page_id, c.url, c.fetched_on,
+  case h.level when 3 then 'block' when 2 then 'allow' else 'none' end as decision, h.key as rule, h.valid_from as listed_since
+from captures c left join hits h on h.url = c.url and h.fetched_on = c.fetched_on and h.n = 1
+"""
+
+
+@query("op1_url_filter", _OP1_SQL)
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures, entries = dated(table(spark, sf_dir, "pages"))
+    return urlfilter.decide(captures, entries)
+
+
 @query("op2_simhash_neardup")
 def op2_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.groups(table(spark, sf_dir, "documents"))
@@ -71,6 +140,21 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op5_nearest")
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return forest.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    # The table's sites: a source is a host, its languages are its paths.
+    docs = docs.select("doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path"))
+    found = quality.classify(docs, labels, quality.fit(docs, labels))
+    return found.select("doc_id", held_out().alias("held_out"), "own", "site", "score", "keep")
+
+
 BYTE_BPE = (
     public_tokenizers.path("byte_bpe_50k.json"),
     public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -86,3 +170,8 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_fingerprints")
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

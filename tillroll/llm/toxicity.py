@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.batches import Batches, batch_of, learnable, logistic, map_batches, sigmoid, texts_of
+from tillroll.llm.batches import Batches, batch_of, keep_batches, learnable, logistic, map_batches, sigmoid, texts_of
 
 # Bound of the fitted sample: labelled rows of each label, in hash order of the id.
 ROWS_PER_LABEL = 4000
@@ -269,3 +269,8 @@ def score(docs: DataFrame, grammar: Grammar, doc_id: str = "doc_id", text: str =
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     return map_batches(rows, run, f"doc_id {kind}, score double, predicted int")
+
+
+def keep(docs: DataFrame, grammar: Grammar) -> DataFrame:
+    """The documents (all columns) that score below THRESHOLD."""
+    return keep_batches(docs, lambda texts: grammar.scores(texts) < THRESHOLD)
