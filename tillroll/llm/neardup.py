@@ -86,10 +86,9 @@ def near(planes: np.ndarray, queries: np.ndarray, size: int, radius: int = RADIU
     width = int(radius).bit_length()
     live = np.arange(len(queries))
     shape = (len(queries), planes.shape[1])
-    start = (1 << width) - 1 - radius
-    counter = [np.full(shape, np.uint64(0) - np.uint64(start >> b & 1), np.uint64) for b in range(width)]
+    start, full = (1 << width) - 1 - radius, ~np.uint64(0)
+    counter = [np.full(shape, full * np.uint64(start >> b & 1), np.uint64) for b in range(width)]
     over = np.zeros(shape, np.uint64)
-    full = ~np.uint64(0)
     for bit in range(64):
         ones = np.uint64(0) - (queries[live] >> np.uint64(bit) & np.uint64(1))
         carry = planes[bit][None, :] ^ ones[:, None]

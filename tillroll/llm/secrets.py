@@ -2,7 +2,7 @@
 
 Base patterns (leftmost, non-overlapping per kind; a match that is too short is dropped after it was consumed):
 assignments of passwords and the like, access key ids, long hexadecimal strings. Beside them every run of at least
-``RUN`` key characters that meets no base span is scored by the log-likelihood ratio of two first-order character
+``RUN`` key characters, not digits alone, that meets no base span is scored by the log-likelihood ratio of two first-order character
 models, per character, and reported as kind ``random`` above a threshold. The models are trained from labelled
 samples: the values that base patterns find and drawn random strings on the one side, runs of identifier characters
 outside base spans on the other.
@@ -43,7 +43,7 @@ _CODE[np.frombuffer(KEY_CHARACTERS.encode(), np.uint8)] = np.arange(len(KEY_CHAR
 _IN_RUN = _CODE >= 0
 _RUNS = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % RUN)
 STATES = len(KEY_CHARACTERS)
-SMOOTHING = 0.5
+SMOOTHING, BACKING = 0.5, 5.0
 # Bound of the fitted sample: documents in hash order of the id.
 SAMPLE_DOCS = 2000
 DRAWN = 4000
@@ -108,7 +108,9 @@ class SecretModel:
         found = [
             (at, 3, at + len(run))
             for at, run in key_runs(text)
-            if not any(at < end and start < at + len(run) for start, _, end in base) and self.value(run) > self.threshold
+            if not run.isdigit()
+            and not any(at < end and start < at + len(run) for start, _, end in base)
+            and self.value(run) > self.threshold
         ]
         return sorted(base + found)
 
@@ -138,7 +140,9 @@ def train(random_runs: list[str], plain_runs: list[str]) -> SecretModel:
     fitted, kept = plain_runs[0::4] + plain_runs[1::4] + plain_runs[2::4], [r for r in plain_runs[3::4] if len(r) >= RUN]
     logs = []
     for strings in (random_runs, fitted):
-        total = transitions(strings) + SMOOTHING
+        total = transitions(strings)
+        single = total.sum(axis=0) + SMOOTHING
+        total += BACKING * single / single.sum()  # unseen transitions fall back to how frequent a character is
         logs.append(np.log(total / total.sum(axis=1, keepdims=True)))
     model = SecretModel(logs[0] - logs[1], LEAST_RATIO)
     if kept:
