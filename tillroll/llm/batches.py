@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -56,6 +56,19 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+def hash_sample(rows: DataFrame, label: str, bound: int) -> DataFrame:
+    """``rows`` (doc_id, label, ...) with n: the first ``bound`` rows of each label in hash order of the id.
+
+    A hash limit from each label's count leaves a few times ``bound`` rows before they are ranked, so no task ranks
+    more than that. The counts are one row per label.
+    """
+    counts = rows.groupBy(label).agg(F.count("*").alias("rows_of_label"))
+    place = F.xxhash64("doc_id").cast("double") / F.lit(2.0**64) + 0.5
+    few = rows.join(F.broadcast(counts), label).where(place * F.col("rows_of_label") <= 4 * bound).drop("rows_of_label")
+    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
+    return few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= bound)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 30) -> np.ndarray:
     """Newton's method for logistic regression; the first weight is the intercept.
 

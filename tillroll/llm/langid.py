@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.batches import Batches, batch_of, keep_batches, map_batches, texts_of
+from tillroll.llm.batches import Batches, batch_of, hash_sample, keep_batches, map_batches, texts_of
 
 BUCKETS = 1 << 14
 DIM = 16
@@ -171,9 +171,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], names: list[str]) -> Langua
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
     """Train on a sample of at most ROWS_PER_LANGUAGE rows of each non-null language; texts are used whole."""
     rows = docs.where(F.col(lang).isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"))
-    ids = ids.withColumn("n", F.row_number().over(order)).where(F.col("n") <= ROWS_PER_LANGUAGE)
+    ids = hash_sample(rows.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang")), "lang", ROWS_PER_LANGUAGE)
     some = rows.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     # Bounded by ROWS_PER_LANGUAGE times the languages.
     some = some.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi")

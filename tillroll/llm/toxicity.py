@@ -19,10 +19,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.batches import Batches, batch_of, keep_batches, learnable, logistic, map_batches, sigmoid, texts_of
+from tillroll.llm.batches import Batches, batch_of, hash_sample, keep_batches, learnable, logistic, map_batches, sigmoid, texts_of
 
 # Bound of the fitted sample: labelled rows of each label, in hash order of the id.
 ROWS_PER_LABEL = 4000
@@ -189,8 +189,7 @@ def lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
     """(doc_id, text, y, fold) of at most ``bound`` learnable rows of each label; fold 0 or 1 in halves."""
     known = labels.where(learnable() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
-    known = known.withColumn("n", F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")))
-    known = known.where(F.col("n") <= bound).select("doc_id", "y", (F.col("n") % 2).alias("fold"))
+    known = hash_sample(known, "y", bound).select("doc_id", "y", (F.col("n") % 2).alias("fold"))
     # Bounded by ``bound`` times the two labels.
     return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
 
