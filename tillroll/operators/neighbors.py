@@ -109,7 +109,7 @@ def _assign(refs: DataFrame, pivots: np.ndarray) -> DataFrame:
 
 
 def _routed(queries: DataFrame, cells: Cells, mode: str, k: int, bounded: bool) -> DataFrame:
-    schema = "qid bigint, target int, cell int, vec array<double>"
+    schema = "qid bigint, target int, cell int, vec array<double>, bound double"
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,21 +124,21 @@ def _routed(queries: DataFrame, cells: Cells, mode: str, k: int, bounded: bool)
                 take = pa.array(at)
                 yield pa.RecordBatch.from_arrays(
                     [some.column("qid").take(take), some.column("target").take(take), pa.array(cell, pa.int32()),
-                     some.column("vec").take(take)],
-                    names=["qid", "target", "cell", "vec"],
+                     some.column("vec").take(take), pa.array(bound[at] if bounded else np.full(len(at), np.inf))],
+                    names=["qid", "target", "cell", "vec", "bound"],
                 )
 
     return queries.mapInArrow(route, schema)
 
 
 def _nearest_in_block(queries: pa.Table, refs: pa.Table, k: int) -> pa.Table:
-    """The k nearest rows (by distance, then id) of each query within one pair of blocks."""
+    """The k nearest rows (by distance, then id) of each query within one pair of blocks, none beyond its bound."""
     names = ["qid", "target", "rid", "label", "dist"]
     if queries.num_rows == 0 or refs.num_rows == 0:
         empty = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64()]
         return pa.Table.from_arrays([pa.array([], t) for t in empty], names=names)
     q, r = _matrix(queries.column("vec")), _matrix(refs.column("vec"))
-    rid = refs.column("rid").to_numpy()
+    rid, bound = refs.column("rid").to_numpy(), queries.column("bound").to_numpy(zero_copy_only=False)
     r2 = (r**2).sum(1)
     keep = min(k, len(r))
     at_query, at_ref, dists = [], [], []
@@ -148,11 +148,14 @@ def _nearest_in_block(queries: pa.Table, refs: pa.Table, k: int) -> pa.Table:
         q2 = (block**2).sum(1)
         squared = q2[:, None] + r2[None, :] - 2.0 * block @ r.T
         cut = np.partition(squared, keep - 1, axis=1)[:, keep - 1]
-        cut += _SLACK * (q2 + r2.max())
-        rows, cols = np.nonzero(squared <= cut[:, None])  # at least k per query
+        cut = np.minimum(cut, bound[start : start + step] ** 2) + _SLACK * (q2 + r2.max())
+        rows, cols = np.nonzero(squared <= cut[:, None])  # at least k per query, or all within its bound
         exact = np.concatenate(
             [_exact(block[rows[i : i + _PAIRS]], r[cols[i : i + _PAIRS]]) for i in range(0, len(rows), _PAIRS)]
+            or [np.zeros(0)]
         )
+        near = exact <= bound[start : start + step][rows]
+        rows, cols, exact = rows[near], cols[near], exact[near]
         order = np.lexsort((rid[cols], exact, rows))
         rows, cols, exact = rows[order], cols[order], exact[order]
         rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
@@ -175,7 +178,7 @@ def _nearest_in_block(queries: pa.Table, refs: pa.Table, k: int) -> pa.Table:
 
 def _search(routed: DataFrame, assigned: DataFrame, cells: Cells, k: int, block_rows: int) -> DataFrame:
     """Search every routed (query, cell) pair, block against block."""
-    spark = assigned.sparkSession
+    spark, routed = assigned.sparkSession, stage(routed)  # read twice: for the load and the search
     load = {r.cell: r.n for r in routed.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # one row per cell
     if not load:
         return spark.createDataFrame([], "qid bigint, target int, rid bigint, label int, dist double")
@@ -202,6 +205,7 @@ def _search(routed: DataFrame, assigned: DataFrame, cells: Cells, k: int, block_
         "qid",
         "target",
         "vec",
+        "bound",
     )
     block = ["cell", "rblock", "qblock"]
     return (

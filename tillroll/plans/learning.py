@@ -1,6 +1,6 @@
 """Queries that fit models: stacking, bagging, single models, the whole ensemble.
 
-Models cannot be said in SQL. The ``*_coverage`` queries check by SQL what must hold of any
+Models cannot be said in SQL. Where a query has a twin, it checks by SQL what must hold of any
 model: each row is scored once per model, in its own fold, by probabilities that sum to 1.
 """
 
@@ -150,7 +150,8 @@ def _stack_sides(scores, sides, names, guide, n_classes, key) -> tuple[DataFrame
     near = {}
     for side, rows in sides.items():
         predicted = argmax_class(stacking.class_slice(scores[side], guide), key)
-        near[side] = stage(class_distances(rows.select(key, "vec").join(predicted, key), key, "best_class"))
+        joined = stage(rows.select(key, "vec").join(predicted, key))
+        near[side] = stage(class_distances(joined, key, "best_class"))
     far = stacking.farthest(near["train"])
     out = []
     for side, rows in sides.items():
