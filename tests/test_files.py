@@ -2,6 +2,7 @@
 
 import glob
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.sources.submission import read_template, template_columns, write_submission
@@ -32,10 +33,20 @@ def test_submission_follows_template(spark, tmp_path):
         [(v, c, v / 10 if c else 1 - v / 10) for v in (1, 3, 9) for c in (0, 1)], "visit_number bigint, class int, prob double"
     ).orderBy(F.rand(1))
     out = str(tmp_path / "out")
-    write_submission(long, spark, str(template), out)
+    assert write_submission(long, spark, str(template), out) == 1
     lines = [x for f in sorted(glob.glob(out + "/part-*.csv")) for x in open(f).read().splitlines()]
     header = "VisitNumber,T_3,T_5"
     assert lines[0] == header
     body = [x.split(",") for x in lines if x != header]
     assert [int(b[0]) for b in body] == order
     assert [float(b[2]) for b in body] == [0.9, 0.3, 0.0, 0.1]
+    with pytest.raises(Exception, match="no scores for visit 7"):
+        write_submission(long, spark, str(template), str(tmp_path / "strict"), strict=True)
+
+
+def test_malformed_numbers(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text("VisitNumber,Weekday,Upc,ScanCount,DepartmentDescription,FinelineNumber\n5,Friday,1,two,A,3\n")
+    assert read_transactions(spark, str(path), labelled=False).first().scan_count is None
+    with pytest.raises(Exception, match="FAILFAST"):
+        read_transactions(spark, str(path), labelled=False, mode="FAILFAST").collect()

@@ -6,11 +6,13 @@ import numpy as np
 import pytest
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import SparseVector, Vectors
 from pyspark.sql import functions as F
 
 from tillroll.operators import models, probabilities, stacking
+from tillroll.operators.ensemble import EnsembleSpec
 from tillroll.operators.folds import stratified_folds
-from tillroll.operators.scaling import fit_pca, fit_scaler
+from tillroll.operators.scaling import fit_pca, fit_scaler, fit_sparse_pca
 
 LONG = "id bigint, class int, prob double"
 
@@ -151,6 +153,27 @@ def test_scaler_and_pca(spark):
     assert np.allclose(np.abs(projected), np.abs(z @ axes[:2].T), atol=1e-6)
 
 
+def test_sparse_pca_equals_dense(spark):
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random((60, 6)) < 0.6, 0, rng.normal(size=(60, 6)) * [1, 2, 3, 4, 5, 6])
+    rows = [(i, Vectors.sparse(6, {j: float(v) for j, v in enumerate(r) if v}), [float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, ["id", "features", "vec"])
+    dense = fit_scaler(df).transform(df)
+    wanted = np.array([r.vec for r in fit_pca(dense, 3).transform(dense).orderBy("id").collect()])
+    found = fit_sparse_pca(df, 3).transform(df.drop("vec")).orderBy("id").collect()
+    assert np.allclose(np.abs([r.vec for r in found]), np.abs(wanted), atol=1e-8)
+    assert found[0].features == rows[0][1]
+    spread = fit_scaler(df, "features").spread(df).first().features
+    assert isinstance(spread, SparseVector) and spread.numNonzeros() == rows[0][1].numNonzeros()
+
+
+def test_ensemble_profiles(spark):
+    published, quick = EnsembleSpec.published(100), EnsembleSpec.quick(100)
+    assert published.names == quick.names and len(set(published.names)) == 15
+    assert published.bagging_rounds == 50 and published.final_trees.rounds == 800 and published.trees[0].rounds == 300
+    assert published.guide in published.names
+
+
 def test_second_level(spark):
     scores = spark.createDataFrame(
         [(1, "a", [0.1, 0.9]), (1, "b", [0.2, 0.8]), (2, "a", [0.3, 0.7]), (2, "b", [0.4, 0.6])],

@@ -1,22 +1,29 @@
 """Queries that fit models: stacking, bagging, single models, the whole ensemble.
 
 Models cannot be said in SQL. Where a query has a twin, it checks by SQL what must hold of any
-model: each row is scored once per model, in its own fold, by probabilities that sum to 1.
+model: each row is scored once per model, in its own fold, by probabilities that sum to 1. The
+single models are fitted to a class that the vector tells, and must beat the class shares on
+rows they have not seen. Runs of the whole ensemble take an ``EnsembleSpec``; the registered
+ones are quick.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from collections.abc import Callable
+
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tillroll.operators import models as m
 from tillroll.operators import stacking
 from tillroll.operators.encode import fit_dictionary
+from tillroll.operators.ensemble import EnsembleSpec
 from tillroll.operators.folds import stratified_folds
 from tillroll.operators.neighbors import class_distances
-from tillroll.operators.probabilities import argmax_class, blend, to_long
-from tillroll.operators.scaling import fit_pca, fit_scaler
+from tillroll.operators.probabilities import argmax_class, blend, log_loss, to_long
+from tillroll.operators.scaling import fit_scaler, fit_sparse_pca
 from tillroll.plans.features import feature_lines, feature_model
 from tillroll.plans.registry import query
 from tillroll.plans.sql import TRAIN_BEFORE, with_baskets
@@ -46,13 +53,27 @@ def _shape(probs: str = "probs") -> list:
     ]
 
 
-@query("stack_oof")
+def _checked(long: DataFrame, keys: list[str]) -> DataFrame:
+    """The probabilities of every row and class: each in 0 to 1, and with which total."""
+    total = F.sum("prob").over(Window.partitionBy(*keys))  # one row per class
+    in_range = (F.col("prob") >= 0) & (F.col("prob") <= 1)
+    return long.select(*keys, "class", in_range.alias("in_range"), F.round(total, 6).alias("prob_total"))
+
+
+_MODELS = "(select unnest(['logistic', 'forest']) as model)"
+
+
+@query(
+    "stack_oof",
+    f"with {_SPLIT} select vec_id, model, cast(c as int) as class, true as in_range, cast(1.0 as double) as prob_total "
+    f"from train, {_MODELS}, range({N_CLASSES}) t(c)",
+)
 def stack_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _sides(spark, sf_dir)
-    return to_long(stacking.out_of_fold(train, _small_learners(train.count()), N_CLASSES, N_FOLDS, "vec_id"))
+    scores = stacking.out_of_fold(train, _small_learners(train.count()), N_CLASSES, N_FOLDS, "vec_id")
+    return _checked(to_long(scores), ["vec_id", "model"])
 
 
-_MODELS = "(select unnest(['logistic', 'forest']) as model)"
 _VALID = f"cast({N_CLASSES} as int) as n_classes, cast(1.0 as double) as prob_total, true as in_range"
 
 
@@ -90,58 +111,82 @@ def bagged_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stacking.bagged_scores(train, test, net, N_CLASSES, "vec_id", rounds=3).select("vec_id", *_shape())
 
 
-def _one_model(spark: SparkSession, sf_dir: str, learner_of) -> DataFrame:
-    """Fit on the train side and score every vector: (vec_id, class, prob)."""
-    train, test = _sides(spark, sf_dir)
-    score = learner_of(train.count()).fit(train, N_CLASSES)
-    both = train.select("vec_id", "label", "features").unionByName(test.select("vec_id", "label", "features"))
-    return to_long(score(both)).select("vec_id", "class", "prob")
+TOLD_CLASSES = 4
+
+
+def _told(rows: DataFrame) -> DataFrame:
+    """The vectors with a class that they tell: the signs of their first two components."""
+    sign = lambda i: (F.get("vec", i) > 0).cast("int")
+    return rows.withColumn("label", 2 * sign(0) + sign(1))
 
 
-@query("model_lr")
+_LEARNT = (
+    f"select vec_id, cast(c as int) as class, true as in_range, cast(1.0 as double) as prob_total, true as learnt "
+    f"from embeddings, range({TOLD_CLASSES}) t(c)"
+)
+
+
+def _one_model(spark: SparkSession, sf_dir: str, learner_of: Callable) -> DataFrame:
+    """Fit on the train side and score every vector. ``learnt``: on the test side the log loss is below that of the
+    train side's class shares."""
+    train, test = (_told(side) for side in _sides(spark, sf_dir))
+    score = learner_of(train.count()).fit(train, TOLD_CLASSES)
+    columns = ["vec_id", "label", "features"]
+    scored = stage(to_long(score(train.select(columns).unionByName(test.select(columns)))))
+    truth = test.select("vec_id", "label")
+    shares = train.groupBy("label").agg((F.count("*") / train.count()).alias("share"))
+    by_shares = truth.join(shares, "label", "left").agg(F.avg(-F.log(F.coalesce("share", F.lit(1e-15))))).first()[0]
+    learnt = log_loss(scored, truth, "vec_id").first().log_loss < by_shares
+    return _checked(scored, ["vec_id"]).withColumn("learnt", F.lit(learnt))
+
+
+@query("model_lr", _LEARNT)
 def model_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_model(spark, sf_dir, lambda n: m.logistic(n, max_iter=20))
 
 
-@query("model_rf")
+@query("model_rf", _LEARNT)
 def model_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_model(spark, sf_dir, lambda n: m.forest(trees=20, depth=6))
 
 
-@query("model_mlp")
+@query("model_mlp", _LEARNT)
 def model_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_model(spark, sf_dir, lambda n: m.Network("net", (32, 32), max_iter=20))
 
 
-@query("model_gbt")
+@query("model_gbt", _LEARNT)
 def model_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_model(spark, sf_dir, lambda n: m.Boosted("boosted", rounds=3, depth=3))
 
 
-@query("model_extra_trees")
+@query("model_extra_trees", _LEARNT)
 def model_extra_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_model(spark, sf_dir, lambda n: m.extra_trees(trees=20, depth=6))
 
 
-@query("model_adaboost")
+@query("model_adaboost", _LEARNT)
 def model_adaboost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_model(spark, sf_dir, lambda n: m.RealAdaBoost(rounds=6, depth=4))
 
 
 # Second level on vectors.
 
+AT_ONCE = 8  # independent fits that overlap
+
 
-def _second_level(spark: SparkSession, sf_dir: str, ks: list[int]) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Stacked train and test frames: vote models, logistic regression and forest."""
+def _second_level(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, EnsembleSpec]:
+    """Stacked train and test frames of the quick ensemble."""
     train, test = _sides(spark, sf_dir)
-    learners = _small_learners(train.count())
-    knn_train, knn_test = stacking.neighbor_scores(train, test, ks, N_CLASSES, "vec_id")
-    scores = {
-        "train": knn_train.unionByName(stacking.out_of_fold(train, learners, N_CLASSES, N_FOLDS, "vec_id")),
-        "test": knn_test.unionByName(stacking.refit_scores(train, test, learners, N_CLASSES, "vec_id")),
-    }
-    names = [f"knn_{k}" for k in ks] + [x.name for x in learners]
-    return *_stack_sides(scores, {"train": train, "test": test}, names, "forest", N_CLASSES, "vec_id"), names
+    spec = EnsembleSpec.quick(train.count())
+    knn_train, knn_test = stacking.neighbor_scores(train, test, list(spec.ks), N_CLASSES, "vec_id")
+    scores = {"train": knn_train, "test": knn_test}
+    for learners, scale in ((spec.trees, False), (spec.nets, True)):
+        inside = stacking.out_of_fold(train, learners, N_CLASSES, N_FOLDS, "vec_id", scale, parallelism=AT_ONCE)
+        outside = stacking.refit_scores(train, test, learners, N_CLASSES, "vec_id", scale, parallelism=AT_ONCE)
+        scores = {"train": scores["train"].unionByName(inside), "test": scores["test"].unionByName(outside)}
+    sides = {"train": train, "test": test}
+    return *_stack_sides(scores, sides, spec.names, spec.guide, N_CLASSES, "vec_id"), spec
 
 
 def _stack_sides(scores, sides, names, guide, n_classes, key) -> tuple[DataFrame, DataFrame]:
@@ -163,13 +208,13 @@ def _stack_sides(scores, sides, names, guide, n_classes, key) -> tuple[DataFrame
 @query(
     "level2_matrix",
     f"with {_SPLIT}, b as (select vec_id, label, 'train' as side from train union all select vec_id, label, 'test' from test) "
-    f"select vec_id, label, side, cast({N_CLASSES} * 4 + 3 * {N_CLASSES} as int) as width, cast(4.0 as double) as prob_total from b",
+    f"select vec_id, label, side, cast(15 * {N_CLASSES} + 3 * {N_CLASSES} as int) as width, cast(15.0 as double) as prob_total from b",
 )
 def level2_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Width and total of the probability block of every stacked row (4 models)."""
-    train, test, names = _second_level(spark, sf_dir, [10, 40])
+    """Width and total of the probability block of every stacked row (15 models)."""
+    train, test, spec = _second_level(spark, sf_dir)
     both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
-    probs = F.slice("stacked", 1, N_CLASSES * len(names))
+    probs = F.slice("stacked", 1, N_CLASSES * len(spec.names))
     total = F.aggregate(probs, F.lit(0.0), lambda acc, x: acc + x)
     return both.select("vec_id", "label", "side", F.size("stacked").alias("width"), F.round(total, 6).alias("prob_total"))
 
@@ -187,11 +232,17 @@ def _final_blend(train, test, key, n_classes, boosted, net, rounds) -> DataFrame
     return blend(by_trees, by_net, key)
 
 
-@query("level2_predict")
+@query(
+    "level2_predict",
+    f"with {_SPLIT} select vec_id, cast(c as int) as class, true as in_range, true as within_bound from test, range({N_CLASSES}) t(c)",
+)
 def level2_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test, _ = _second_level(spark, sf_dir, [10, 40])
-    boosted, net = m.Boosted("final", rounds=3, depth=3), m.Network("final_net", (16,), max_iter=10)
-    return _final_blend(train, test, "vec_id", N_CLASSES, boosted, net, rounds=2)
+    """The blend of every test row and class; the geometric blend of two distributions sums to at most 1."""
+    train, test, spec = _second_level(spark, sf_dir)
+    blended = _final_blend(train, test, "vec_id", N_CLASSES, spec.final_trees, spec.final_net, spec.bagging_rounds)
+    checked = _checked(stage(blended), ["vec_id"])
+    within = (F.col("prob_total") > 0) & (F.col("prob_total") <= 1)
+    return checked.select("vec_id", "class", "in_range", within.alias("within_bound"))
 
 
 # The whole job on baskets: features, stacking, second level, blend, one row per visit.
@@ -206,13 +257,13 @@ select distinct visit_number, cast({N_TRIP_TYPES} as int) as n_classes, true as
 from c where visit_day >= date '{TRAIN_BEFORE}'"""),
 )
 def visit_class_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = visit_submission(spark, sf_dir)
+    wide = visit_submission(spark, sf_dir, EnsembleSpec.quick)
     columns = [c for c in wide.columns if c != "visit_number"]
     ok = F.forall(F.array(*columns), lambda p: (p >= 0) & (p <= 1))
     return wide.select("visit_number", F.lit(len(columns)).alias("n_classes"), ok.alias("in_range"))
 
 
-def visit_submission(spark: SparkSession, sf_dir: str, ks: tuple[int, ...] = (10, 40)) -> DataFrame:
+def visit_submission(spark: SparkSession, sf_dir: str, spec_of: Callable[[int], EnsembleSpec] = EnsembleSpec.published) -> DataFrame:
     """Blended class probabilities of every test-side visit, one column per trip type."""
     fitted = feature_model(spark, sf_dir)
     visits = visit_attributes(spark, sf_dir)
@@ -220,39 +271,29 @@ def visit_submission(spark: SparkSession, sf_dir: str, ks: tuple[int, ...] = (10
     labels = fit_dictionary(visits, "trip_type")
     coded = labels.encode(visits, "trip_type", "label").select("visit_number", "visit_day", "label")
     is_train = F.col("visit_day") < F.lit(TRAIN_BEFORE)
-
-    raw = fitted.vectors(lines, visits).join(coded, "visit_number")
-    logged = fitted.vectors(lines, visits, log=True).join(coded, "visit_number")
-    folds = stage(stratified_folds(raw.filter(is_train), "visit_number", "label", N_FOLDS).select("visit_number", "fold"))
-
-    # Vote models and distances in the space of principal components of the log features.
-    dense = logged.select("visit_number", "label", "visit_day", vector_to_array("features").alias("vec"))
-    scaler = fit_scaler(dense.filter(is_train))
-    scaled = stage(scaler.transform(dense))
-    pca = fit_pca(scaled.filter(is_train), min(100, fitted.width(log=True)))
-    space = stage(pca.transform(scaled).join(folds, "visit_number", "left"))
-    train, test = space.filter(is_train), space.filter(~is_train)
-    knn_train, knn_test = stacking.neighbor_scores(train, test, list(ks), labels.size, "visit_number")
-
-    # Trees on the raw sparse features, logistic regression on the log features scaled per fold.
-    raw = stage(raw.join(folds, "visit_number", "left"))
-    nets = stage(logged.join(folds, "visit_number", "left"))
-    n_train = train.count()
-    trees = [m.Boosted("boosted", rounds=2, depth=3), m.forest(trees=5, depth=5)]
-    linear = [m.logistic(n_train, max_iter=5)]
     key, k = "visit_number", labels.size
-    scores = {
-        "train": knn_train.unionByName(stacking.out_of_fold(raw.filter(is_train), trees, k, N_FOLDS, key)).unionByName(
-            stacking.out_of_fold(nets.filter(is_train), linear, k, N_FOLDS, key, scale=True)
-        ),
-        "test": knn_test.unionByName(
-            stacking.refit_scores(raw.filter(is_train), raw.filter(~is_train), trees, k, key)
-        ).unionByName(stacking.refit_scores(nets.filter(is_train), nets.filter(~is_train), linear, k, key, scale=True)),
-    }
-    names = [f"knn_{n}" for n in ks] + [x.name for x in trees + linear]
-    sides = {"train": train, "test": test}
-    stacked_train, stacked_test = _stack_sides(scores, sides, names, "boosted", k, key)
-    final, net = m.Boosted("final", rounds=2, depth=3), m.Network("final_net", (16,), max_iter=5)
-    long = _final_blend(stacked_train, stacked_test, key, k, final, net, rounds=2)
+
+    raw = fitted.vectors(lines, visits).join(coded, key)
+    logged = fitted.vectors(lines, visits, log=True).join(coded, key)
+    folds = stage(stratified_folds(raw.filter(is_train), key, "label", N_FOLDS).select(key, "fold"))
+    raw = stage(raw.join(folds, key, "left"))
+    logged = stage(logged.join(folds, key, "left"))
+    spec = spec_of(raw.filter(is_train).count())
+
+    # Vote models and distances in the space of principal components of the log features, which stay sparse.
+    pca = fit_sparse_pca(logged.filter(is_train), min(spec.components, fitted.width(log=True)))
+    space = stage(pca.transform(logged).select(key, "label", "visit_day", "fold", "vec"))
+    sides = {"train": space.filter(is_train), "test": space.filter(~is_train)}
+    knn_train, knn_test = stacking.neighbor_scores(sides["train"], sides["test"], list(spec.ks), k, key)
+    scores = {"train": knn_train, "test": knn_test}
+
+    # Trees on the raw features; nets and logistic regression on the log features, scaled per fold but not centred.
+    for rows, learners, scale in ((raw, spec.trees, False), (logged, spec.nets, True)):
+        train, test = rows.filter(is_train), rows.filter(~is_train)
+        inside = stacking.out_of_fold(train, learners, k, N_FOLDS, key, scale, centre=False, parallelism=AT_ONCE)
+        outside = stacking.refit_scores(train, test, learners, k, key, scale, centre=False, parallelism=AT_ONCE)
+        scores = {"train": scores["train"].unionByName(inside), "test": scores["test"].unionByName(outside)}
+    stacked_train, stacked_test = _stack_sides(scores, sides, spec.names, spec.guide, k, key)
+    long = _final_blend(stacked_train, stacked_test, key, k, spec.final_trees, spec.final_net, spec.bagging_rounds)
     columns = [f"TripType_{r.value}" for r in labels.table.orderBy("code").collect()]  # one per class
     return submission_frame(long, columns)

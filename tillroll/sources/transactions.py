@@ -32,13 +32,17 @@ def file_schema(labelled: bool) -> StructType:
     return StructType([StructField(n, _TYPES[n], True) for n in names])
 
 
-def read_transactions(spark: SparkSession, path: str, labelled: bool = True) -> DataFrame:
-    """Lines of a CSV file with header; the text ``NULL`` and empty fields are missing."""
+def read_transactions(spark: SparkSession, path: str, labelled: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
+    """Lines of a CSV file with header; the text ``NULL`` and empty fields are missing.
+
+    A malformed number is missing too; with ``mode="FAILFAST"`` it is an error.
+    """
     df = (
         spark.read.schema(file_schema(labelled))
         .option("header", True)
         .option("nullValue", "NULL")
         .option("enforceSchema", False)
+        .option("mode", mode)
         .csv(path)
     )
     blank_as_null = [
