@@ -78,6 +78,10 @@ def test_url_filter(spark):
         1: block, 2: block, 3: ("allow", "d:a.example.com"), 4: ("block", "d:example.com"), 5: ("block", "d:b.example.com"),
         6: ("none", None), 7: ("none", None), 8: ("none", None),
     }
+    clashing = left.selectExpr("*", "1 as best", "2 as _url", "3 as _day", "4 as month", "5 as decision")
+    named = urlfilter.decide(clashing, right)
+    assert named.columns == ["url", "fetched_on", "key", "best", "_url", "_day", "month", "decision", "rule", "listed_since"]
+    assert {r.key: (r.decision, r.rule) for r in named.where("best = 1 and _url = 2 and _day = 3 and month = 4").collect()} == got
     assert urlfilter.decide(left, right.limit(0)).where("decision <> 'none'").count() == 0
     assert urlfilter.decide(left.limit(0), right).count() == 0
 

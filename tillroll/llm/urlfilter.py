@@ -12,6 +12,7 @@ date) first and joined back, so copies cost nothing.
 Defined results: events of one key on one day count as one, block before allow before remove. Without an active
 entry, and for null URLs or dates and URLs without a host, the decision is ``none`` with null rule and date. Rows stay
 as they are, repeated ones too. Null keys, dates and unknown actions of entries are ignored. Empty lists decide none.
+Columns of the captures stay, whatever their names, but for those named as a result column, which it replaces.
 """
 
 from __future__ import annotations
@@ -85,9 +86,11 @@ def decide(captures: DataFrame, entries: DataFrame, url: str = "url", fetched_on
     hits = asked.join(spans, ["key", "month"]).where(active)
     best = F.max(F.struct("rank", "key", "action", "valid_from")).alias("best")
     found = hits.groupBy("_url", "_day").agg(best)
-    out = captures.withColumns({"_url": F.col(url), "_day": F.col(fetched_on).cast("date")}).join(found, ["_url", "_day"], "left")
-    return out.select(
-        *(captures[c] for c in captures.columns),
+    # The capture travels as one struct, so its column names meet no others.
+    rows = captures.select(F.struct("*").alias("_row"), F.col(url).alias("_url"), F.col(fetched_on).cast("date").alias("_day"))
+    ruled = ("decision", "rule", "listed_since")
+    return rows.join(found, ["_url", "_day"], "left").select(
+        *(F.col("_row").getField(c).alias(c) for c in captures.columns if c.lower() not in ruled),
         F.coalesce("best.action", F.lit("none")).alias("decision"),
         F.col("best.key").alias("rule"),
         F.col("best.valid_from").alias("listed_since"),
