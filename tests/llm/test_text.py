@@ -222,6 +222,9 @@ def test_neardup_rows(docs, spark):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "4", "8", "None"]
     assert neardup.groups(docs.limit(0)).count() == 0
+    # A row without id and text takes no document's place.
+    bare = spark.createDataFrame([(42, "some words stand here alone"), (None, None), (None, ""), (43, "entirely other words of another text")], "doc_id long, text string")
+    assert sorted(str(r.doc_id) for r in neardup.deduplicate(bare).collect()) == ["42", "43", "None"]
 
 
 def test_components_of_a_chain(spark):

@@ -229,10 +229,11 @@ def groups(docs: DataFrame, words: int = SHINGLE, radius: int = RADIUS) -> DataF
 def deduplicate(docs: DataFrame, words: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The documents with one row of each group kept, one of those of the least id; all columns stay.
 
-    A null id is named by its text's hash here, so its group keeps a row too.
+    A null id is named by its text's hash here, so its group keeps a row too. Rows of one id are one document: what
+    either is near to is one group.
     """
     name = next(n for i in range(len(docs.columns) + 1) if (n := f"name_{i}") not in docs.columns)
-    named = docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    named = docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no id"), F.coalesce("text", F.lit("")))))
     found = groups(named.select(F.col(name).alias("doc_id"), "text"), words, radius)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
     return named.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)
