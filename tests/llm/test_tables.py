@@ -45,6 +45,43 @@ def test_forest_edge_cases(spark):
     assert forest.nearest(frame, frame.where("vec_id = 9")).count() == 0
 
 
+def brute_nearest(rows, query, k=10):
+    """(vec_id, distance) of the k nearest rows of the query's dimension, its own id left out."""
+    own, v = query
+    near = [(float(np.sqrt(((np.array(x) - v) ** 2).sum())), i) for i, x in rows if i != own and len(x) == len(v)]
+    return [(i, d) for d, i in sorted(near)[:k]]
+
+
+@pytest.mark.parametrize("n", [5, 11, 30, 64, 100, 200])
+def test_forest_of_few_rows_is_exact(spark, n, monkeypatch):
+    rng = np.random.default_rng(n)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(n)]
+    rows += [(1000 + i, rng.normal(size=7).tolist()) for i in range(20)]  # a rare dimension, beside several shards
+    rows += [(1000, rng.normal(size=7).tolist()) for _ in range(12)]  # rows that hold the query's own id only
+    monkeypatch.setattr(forest, "SHARD_ROWS", 40)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    asked = [r for r in rows[:n] if r[0] % 10 == 0] + rows[n : n + 1]
+    queries = spark.createDataFrame(asked, frame.schema)
+    got = {}
+    for r in forest.nearest(frame, queries).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert sorted(got) == sorted(i for i, _ in asked)
+    for query in asked:
+        want = brute_nearest(rows, query)
+        assert [i for i, _ in got[query[0]]] == [i for i, _ in want]
+        assert np.allclose([d for _, d in got[query[0]]], [d for _, d in want])
+
+
+@pytest.mark.parametrize("least", [1, 1024])
+def test_forest_meets_enough_distinct_rows(monkeypatch, least):
+    monkeypatch.setattr(forest, "LEAST", least)
+    x = np.random.default_rng(3).normal(size=(2000, 32))
+    built = forest.Forest(x, x.mean(axis=0))
+    need = np.full(50, max(10, least, int(forest.SHARE * len(x))) + 1)
+    for i, rows in enumerate(built.candidates(x[:50], need)):
+        assert i in rows and len(set(rows.tolist())) == len(rows) >= need[i]
+
+
 def test_url_filter(spark):
     day = lambda m, d=1: datetime.date(2024, m, d)
     captures = [

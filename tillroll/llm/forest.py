@@ -2,9 +2,10 @@
 
 Each tree is a sorted array of long hash strings (signs of random projections, first bit foremost). A query descends
 to its longest common prefix in every tree, then all trees ascend together, one bit at a time, until the entries below
-the common prefix are ``EFFORT`` times the rows; their exact distances decide. Rows are dealt over shards by a hash of
-the vector; a forest is built of each shard, and every query visits every shard, in blocks. The best of all shards
-are merged.
+the common prefix hold enough distinct rows: ``k`` that can be results, ``LEAST`` and the share ``SHARE`` of the shard, the
+query's own row not counted. Their exact distances decide, so shards of up to ``LEAST`` rows are searched exactly. The
+rows of each dimension are dealt over shards by a hash of the vector; a forest is built of each shard, and every query
+visits every shard of its dimension, in blocks. The best of all shards are merged.
 
 Defined results: null, empty and zero vectors and vectors with null or non-finite components take no part, nor do
 null ids. Equal rows count once. Of copies of a vector only the ``k`` + 1 smallest ids can be results, so no more are
@@ -23,7 +24,8 @@ from tillroll.session import stage
 
 TREES = 64
 STRING = 24
-EFFORT = 1.0
+SHARE = 0.6
+LEAST = 1024
 SHARD_ROWS = 8192
 QUERY_ROWS = 2048
 SEED = 5
@@ -58,28 +60,29 @@ class Forest:
             out[at : at + 4096] = signs @ (1 << np.arange(self.bits - 1, -1, -1))
         return out
 
-    def candidates(self, queries: np.ndarray, effort: float = EFFORT):
-        """The row numbers that each query compares with."""
+    def candidates(self, queries: np.ndarray, need: np.ndarray):
+        """The row numbers that each query compares with: at least ``need`` distinct ones, or all."""
         strings, n = self._strings(queries), len(self.x)
-        need = effort * n
-        low = np.zeros((self.bits + 1, len(queries), self.trees), np.int64)
-        high = np.zeros_like(low)
-        level = np.zeros(len(queries), np.int64)
-        todo = np.arange(len(queries))
+        near = np.zeros((len(queries), n), bool)
+        near[need >= n] = True
+        todo = np.flatnonzero(need < n)
         for depth in range(self.bits, -1, -1):  # ascend from whole strings
             if not len(todo):
                 break
             rest = self.bits - depth
             head = strings[todo] >> rest << rest
+            low, high = np.zeros((2, len(todo), self.trees), np.int64)
             for t in range(self.trees):
-                low[depth, todo, t] = np.searchsorted(self.sorted[t], head[:, t])
-                high[depth, todo, t] = np.searchsorted(self.sorted[t], head[:, t] + (1 << rest))
-            level[todo] = depth
-            todo = todo[(high[depth, todo] - low[depth, todo]).sum(axis=1) < need]
-        for q in range(len(queries)):
-            mask = np.zeros(n, bool)
-            for t in range(self.trees):
-                mask[self.order[t, low[level[q], q, t] : high[level[q], q, t]]] = True
+                low[:, t] = np.searchsorted(self.sorted[t], head[:, t])
+                high[:, t] = np.searchsorted(self.sorted[t], head[:, t] + (1 << rest))
+            left = np.ones(len(todo), bool)
+            for i in np.flatnonzero((high - low).sum(axis=1) >= need[todo]):  # fewer hits cannot be enough rows
+                mask = near[todo[i]]
+                for t in range(self.trees):
+                    mask[self.order[t, low[i, t] : high[i, t]]] = True
+                left[i] = mask.sum() < need[todo[i]]
+            todo = todo[left]
+        for mask in near:
             yield np.flatnonzero(mask)
 
 
@@ -92,13 +95,18 @@ def best(index: pa.Table, queries: pa.Table, origin: dict[int, np.ndarray], k: i
     x, q = matrix(index), matrix(queries)
     ids = index.column("ids").combine_chunks()
     starts, members = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
-    forest = Forest(x, origin.get(x.shape[1], np.zeros(x.shape[1])))
+    forest = Forest(x, origin.get(x.shape[1], x.mean(axis=0)))
     names, keys = queries.column("vec_id").to_numpy(), queries.column("query_key").to_numpy()
     out: list[list[np.ndarray]] = [[], [], [], []]
-    for i, rows in enumerate(forest.candidates(q)):
+    # Rows that hold no other id than the query's cannot be results; its own row, at most one, is not counted either.
+    only, times = np.unique(members[starts[:-1]][np.diff(starts) == 1], return_counts=True)
+    at = np.minimum(np.searchsorted(only, names), max(len(only) - 1, 0))
+    barren = np.where(only[at] == names, times[at], 0) if len(only) else np.zeros(len(names), np.int64)
+    need = np.maximum(max(k, LEAST, int(np.ceil(SHARE * len(x)))) + 1, k + barren)
+    for i, rows in enumerate(forest.candidates(q, need)):
         distance = np.sqrt(((x[rows] - q[i]) ** 2).sum(axis=1))
-        if len(rows) > k + 1:
-            limit = np.partition(distance, k)[k]
+        if len(rows) > (least := k + barren[i]):
+            limit = np.partition(distance, least - 1)[least - 1]
             rows, distance = rows[distance <= limit], distance[distance <= limit]
         sizes = starts[rows + 1] - starts[rows]
         own = np.concatenate([members[starts[r] : starts[r + 1]] for r in rows]) if len(rows) else np.zeros(0, np.int64)
@@ -117,19 +125,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "
     index = rows.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
     index = stage(index.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
     asked = stage(asked.withColumn("query_key", F.xxhash64("vector")))
-    shards = max(1, -(-index.count() // SHARD_ROWS))
+    shards = stage(index.groupBy(F.size("vector").alias("dim")).agg(F.ceil(F.count("*") / SHARD_ROWS).alias("shards")))
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
     sample = index.orderBy(F.xxhash64("vector")).limit(SAMPLE_ROWS).select("vector").collect()
     found: dict[int, list] = {}
     for r in sample:
         found.setdefault(len(r.vector), []).append(r.vector)
     origin = {d: np.mean(v, axis=0) for d, v in found.items()}
-    dealt = index.select(
-        F.size("vector").alias("dim"), F.pmod(F.xxhash64("vector"), F.lit(shards)).alias("shard"),
+    dealt = index.withColumn("dim", F.size("vector")).join(shards, "dim").select(
+        "dim", F.pmod(F.xxhash64("vector"), F.col("shards")).alias("shard"),
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vector", "ids",
     )
-    sent = asked.select(
-        F.size("vector").alias("dim"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
+    sent = asked.withColumn("dim", F.size("vector")).join(shards, "dim").select(
+        "dim", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"),
         F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), "vector", "vec_id", "query_key",
     )
     key = ["dim", "shard", "block"]
