@@ -157,6 +157,23 @@ def test_markov_models_tell_random_from_names():
     assert np.mean([model.value(n) > model.threshold for n in names]) < 0.02
 
 
+KEY = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+
+
+@pytest.mark.parametrize("every", [100, 20])  # keys in 1% and 5% of the documents
+def test_keys_in_the_fitted_documents_do_not_hide_others(spark, every):
+    rng = np.random.default_rng(every)
+    key = lambda n=40: "".join(rng.choice(KEY, n))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    planted = {r.doc_id: key() for r in docs[::every]}
+    rows = [(r.doc_id, f"{r.text} {planted[r.doc_id]}" if r.doc_id in planted else r.text) for r in docs]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    model = secrets.fit(frame)
+    found = {r.doc_id for r in secrets.scan(frame, model).where("exists(spans, s -> s.kind = 'random')").collect()}
+    assert len(found & set(planted)) >= 0.99 * len(planted) and len(found - set(planted)) <= 0.01 * len(rows)
+    assert np.mean([bool(model.spans(f"see {key()} here")) for _ in range(300)]) > 0.99
+
+
 def test_fingerprint_bits():
     for text in [t or "" for _, t, *_ in ROWS[:4]] + noise(200, 6):
         words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))

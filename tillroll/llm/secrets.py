@@ -4,8 +4,10 @@ Base patterns (leftmost, non-overlapping per kind; a match that is too short is
 assignments of passwords and the like, access key ids, long hexadecimal strings. Beside them every run of at least
 ``RUN`` key characters, not digits alone, that meets no base span is scored by the log-likelihood ratio of two first-order character
 models, per character, and reported as kind ``random`` above a threshold. The models are trained from labelled
-samples: the values that base patterns find and drawn random strings on the one side, runs of identifier characters
-outside base spans on the other.
+samples: the values that base patterns find and drawn random strings on the one side, words of identifier characters
+outside base spans on the other. These words carry no label and may be keys, so the identifier model is the second part
+of a mixture with the random one: a word counts as far as it is not random. The threshold is that of held-back ordinary
+words joined to long identifiers, so keys among the words do not move it.
 
 Spans are code point offsets, end exclusive. Null text counts as empty; empty text has no spans. Rows are
 independent; repeated rows repeat; columns besides id and text are ignored. Without any text to learn from, the
@@ -48,7 +50,10 @@ SMOOTHING, BACKING = 0.5, 5.0
 SAMPLE_DOCS = 2000
 DRAWN = 4000
 SEED = 11
-# Least log-likelihood ratio per character, and the share of kept-back identifier runs that may pass.
+# Steps of the mixture fit; the share of random words it starts from and stays above.
+STEPS, SHARE = 6, 1e-3
+JOINS = ("_", "-", "/", "=", "")
+# Least log-likelihood ratio per character, and the share of kept-back identifiers that may pass.
 LEAST_RATIO = 0.5
 FALSE_SHARE = 1e-3
 # Training strings of one side that a task returns, and the longest piece of one.
@@ -119,17 +124,46 @@ def written(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def transitions(strings: list[str]) -> np.ndarray:
-    total = np.zeros((STATES + 1, STATES))
-    for s in strings:
-        codes = _codes(s)
-        total[STATES, codes[0]] += 1
-        np.add.at(total, (codes[:-1], codes[1:]), 1)
-    return total
+class Encoded:
+    """The transitions of many strings in flat arrays."""
+
+    def __init__(self, strings: list[str]) -> None:
+        codes = _codes("".join(strings)).astype(np.int64)
+        size = np.array([len(s) for s in strings], np.int64)
+        self.count, self.owner, self.to = len(strings), np.repeat(np.arange(len(strings)), size), codes
+        self.of = np.concatenate([[STATES], codes])[: len(codes)]
+        self.of[np.cumsum(size) - size] = STATES  # no string is empty
+
+    def transitions(self, weight: np.ndarray) -> np.ndarray:
+        flat = np.bincount(self.of * STATES + self.to, weight[self.owner], (STATES + 1) * STATES)
+        return flat.reshape(STATES + 1, STATES)
+
+    def totals(self, ratio: np.ndarray) -> np.ndarray:
+        return np.bincount(self.owner, ratio[self.of, self.to], self.count)
+
+
+def _logs(total: np.ndarray) -> np.ndarray:
+    single = total.sum(axis=0) + SMOOTHING
+    total = total + BACKING * single / single.sum()  # unseen transitions fall back to how frequent a character is
+    return np.log(total / total.sum(axis=1, keepdims=True))
+
+
+def _joined(words: list[str], rng: np.random.Generator) -> list[str]:
+    """DRAWN identifiers of RUN or more characters, made of the words."""
+    out = []
+    for i in range(DRAWN if words else 0):
+        least, join, some, long = int(rng.integers(RUN, 48)), JOINS[i % len(JOINS)], [], 0
+        while long < least:
+            word = words[int(rng.integers(len(words)))]
+            some.append(word if join else word[0].upper() + word[1:])
+            long += len(word) + len(join)
+        run = join.join(some)
+        out.append(run if len(run) >= RUN else run + join)
+    return out
 
 
 def train(random_runs: list[str], plain_runs: list[str]) -> SecretModel:
-    """Two smoothed transition tables; the threshold from the identifier runs kept back."""
+    """Two smoothed transition tables; the threshold from ordinary words kept back."""
     rng = np.random.default_rng(SEED)
     alphabets = [KEY_CHARACTERS[:62], KEY_CHARACTERS[:64], KEY_CHARACTERS[52:62] + "abcdef", KEY_CHARACTERS[:26] + KEY_CHARACTERS[52:62]]
     drawn = [
@@ -137,16 +171,25 @@ def train(random_runs: list[str], plain_runs: list[str]) -> SecretModel:
     ]
     clean = lambda runs: [r for r in (re.sub(r"[^A-Za-z0-9+/_=-]", "", r)[:STRING] for r in runs) if r]
     random_runs, plain_runs = clean(random_runs) + drawn, sorted(clean(plain_runs))
-    fitted, kept = plain_runs[0::4] + plain_runs[1::4] + plain_runs[2::4], [r for r in plain_runs[3::4] if len(r) >= RUN]
-    logs = []
-    for strings in (random_runs, fitted):
-        total = transitions(strings)
-        single = total.sum(axis=0) + SMOOTHING
-        total += BACKING * single / single.sum()  # unseen transitions fall back to how frequent a character is
-        logs.append(np.log(total / total.sum(axis=1, keepdims=True)))
-    model = SecretModel(logs[0] - logs[1], LEAST_RATIO)
-    if kept:
-        model.threshold = max(LEAST_RATIO, float(np.quantile([model.value(r) for r in kept], 1 - FALSE_SHARE)))
+    fitted, kept = plain_runs[0::4] + plain_runs[1::4] + plain_runs[2::4], plain_runs[3::4]
+    random, inside = Encoded(random_runs), Encoded(fitted)
+    random_logs = _logs(random.transitions(np.ones(random.count)))
+    digits = np.array([r.isdigit() for r in fitted], bool)
+    doubt, share = np.zeros(inside.count), SHARE  # how likely a word is random
+    for _ in range(STEPS):
+        ratio = random_logs - _logs(inside.transitions(1 - doubt))
+        odds = inside.totals(ratio) + np.log(share / (1 - share))
+        doubt = np.where(digits, 0, 1 / (1 + np.exp(-np.clip(odds, -50, 50))))
+        share = min(max(SHARE, float(doubt.mean()) if len(doubt) else 0), 0.5)
+    ordinary = [r for r, d in zip(fitted, doubt) if d < 0.5]
+    joined = Encoded(_joined(ordinary, rng))
+    ratio = random_logs - _logs(inside.transitions(1 - doubt) + joined.transitions(np.ones(joined.count)))
+    model = SecretModel(ratio, LEAST_RATIO)
+    odds = Encoded(kept).totals(ratio) + np.log(share / (1 - share))
+    ordinary = [r for r, o in zip(kept, odds) if o < 0]
+    runs = [r for r in ordinary if len(r) >= RUN and not r.isdigit()] + _joined(ordinary, rng)
+    if runs:
+        model.threshold = max(LEAST_RATIO, float(np.quantile([model.value(r) for r in runs], 1 - FALSE_SHARE)))
     return model
 
 
