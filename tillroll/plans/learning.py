@@ -3,8 +3,8 @@
 Models cannot be said in SQL. Where a query has a twin, it checks by SQL what must hold of any
 model: each row is scored once per model, in its own fold, by probabilities that sum to 1. The
 single models are fitted to a class that the vector tells, and must beat the class shares on
-rows they have not seen. Runs of the whole ensemble take an ``EnsembleSpec``; the registered
-ones are quick.
+rows they have not seen. Runs of the whole ensemble fit what ``SPEC`` says: the published set,
+unless tests put a quick one in its place.
 """
 
 from __future__ import annotations
@@ -32,6 +32,9 @@ from tillroll.session import stage
 from tillroll.sources.star import visit_attributes
 from tillroll.sources.submission import submission_frame
 
+# Training rows -> what the runs of the whole ensemble fit.
+SPEC: Callable[[int], EnsembleSpec] = EnsembleSpec.published
+
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = split_vectors(spark, sf_dir).withColumn("features", array_to_vector(F.col("vec")))
@@ -176,9 +179,9 @@ AT_ONCE = 8  # independent fits that overlap
 
 
 def _second_level(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, EnsembleSpec]:
-    """Stacked train and test frames of the quick ensemble."""
+    """Stacked train and test frames of the ensemble."""
     train, test = _sides(spark, sf_dir)
-    spec = EnsembleSpec.quick(train.count())
+    spec = SPEC(train.count())
     knn_train, knn_test = stacking.neighbor_scores(train, test, list(spec.ks), N_CLASSES, "vec_id")
     scores = {"train": knn_train, "test": knn_test}
     for learners, scale in ((spec.trees, False), (spec.nets, True)):
@@ -257,13 +260,14 @@ select distinct visit_number, cast({N_TRIP_TYPES} as int) as n_classes, true as
 from c where visit_day >= date '{TRAIN_BEFORE}'"""),
 )
 def visit_class_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = visit_submission(spark, sf_dir, EnsembleSpec.quick)
+    wide = visit_submission(spark, sf_dir)
     columns = [c for c in wide.columns if c != "visit_number"]
     ok = F.forall(F.array(*columns), lambda p: (p >= 0) & (p <= 1))
     return wide.select("visit_number", F.lit(len(columns)).alias("n_classes"), ok.alias("in_range"))
 
 
-def visit_submission(spark: SparkSession, sf_dir: str, spec_of: Callable[[int], EnsembleSpec] = EnsembleSpec.published) -> DataFrame:
+@query("visit_submission")
+def visit_submission(spark: SparkSession, sf_dir: str, spec_of: Callable[[int], EnsembleSpec] | None = None) -> DataFrame:
     """Blended class probabilities of every test-side visit, one column per trip type."""
     fitted = feature_model(spark, sf_dir)
     visits = visit_attributes(spark, sf_dir)
@@ -278,7 +282,7 @@ def visit_submission(spark: SparkSession, sf_dir: str, spec_of: Callable[[int],
     folds = stage(stratified_folds(raw.filter(is_train), key, "label", N_FOLDS).select(key, "fold"))
     raw = stage(raw.join(folds, key, "left"))
     logged = stage(logged.join(folds, key, "left"))
-    spec = spec_of(raw.filter(is_train).count())
+    spec = (spec_of or SPEC)(raw.filter(is_train).count())
 
     # Vote models and distances in the space of principal components of the log features, which stay sparse.
     pca = fit_sparse_pca(logged.filter(is_train), min(spec.components, fitted.width(log=True)))
