@@ -174,6 +174,38 @@ def test_keys_in_the_fitted_documents_do_not_hide_others(spark, every):
     assert np.mean([bool(model.spans(f"see {key()} here")) for _ in range(300)]) > 0.99
 
 
+def test_keys_joined_to_words_are_found_alone(spark):
+    rng = np.random.default_rng(8)
+    model = secrets.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    draw = lambda n, some=KEY: "".join(rng.choice(some, n))
+    cases = {
+        "named": lambda: ("some_ordinary_words_and_the_name_of_a_thing=", draw(40), ""),
+        "path": lambda: ("files/of/ordinary/people/and/things/under/", draw(20), ""),
+        "inside": lambda: ("files/of/ordinary/", draw(24), "/and/other/things/with/names"),
+        "padded": lambda: ("the_ordinary_value=", draw(30) + "==", ""),
+        "beside hex": lambda: ("the " + draw(32, list("0123456789abcdef")), "Z" + draw(31, KEY[:26]), ""),
+    }
+    for name, case in cases.items():
+        hits = []
+        for _ in range(100):
+            before, key, after = case()
+            hits.append((len(before), 3, len(before) + len(key)) in model.spans(before + key + after))
+        assert np.mean(hits) >= 0.95, (name, np.mean(hits))
+    for ordinary in ("files/of/ordinary/people/and/other/things", "the_ordinary_value=some_other_ordinary_words"):
+        assert not model.spans(ordinary)
+
+
+def test_heaviest_segments_weigh_most():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        weights = rng.normal(size=12)
+        over = np.concatenate([[0], np.cumsum(weights)])
+        found = secrets._heaviest([(i, i + 1) for i in range(12)], over)
+        sums = [over[j] - over[i] for i in range(12) for j in range(i + 1, 13)]
+        assert max((over[b] - over[a] for a, b in found), default=0) == pytest.approx(max(0, *sums))
+        assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+
+
 def test_fingerprint_bits():
     for text in [t or "" for _, t, *_ in ROWS[:4]] + noise(200, 6):
         words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))

@@ -2,8 +2,9 @@
 
 Base patterns (leftmost, non-overlapping per kind; a match that is too short is dropped after it was consumed):
 assignments of passwords and the like, access key ids, long hexadecimal strings. Beside them every run of at least
-``RUN`` key characters, not digits alone, that meets no base span is scored by the log-likelihood ratio of two first-order character
-models, per character, and reported as kind ``random`` above a threshold. The models are trained from labelled
+``RUN`` key characters outside base spans, not digits alone, is scored by the log-likelihood ratio of two first-order character
+models, per character, and reported as kind ``random`` above a threshold. Of a run with ``=`` or ``/`` only the neighbouring
+parts are reported whose ratios lift their sum above the threshold, or the whole if its mean alone is above. The models are trained from labelled
 samples: the values that base patterns find and drawn random strings on the one side, words of identifier characters
 outside base spans on the other. These words carry no label and may be keys, so the identifier model is the second part
 of a mixture with the random one: a word counts as far as it is not random. The threshold is that of held-back ordinary
@@ -45,6 +46,9 @@ _CODE[np.frombuffer(KEY_CHARACTERS.encode(), np.uint8)] = np.arange(len(KEY_CHAR
 _IN_RUN = _CODE >= 0
 _RUNS = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % RUN)
 STATES = len(KEY_CHARACTERS)
+# Characters that end a part of a run; the next one follows as at a start.
+_EDGE = np.isin(np.arange(STATES), [KEY_CHARACTERS.index(c) for c in "=/"])
+_PARTS = re.compile(r"[^=/]+|[=/]")
 SMOOTHING, BACKING = 0.5, 5.0
 # Bound of the fitted sample: documents in hash order of the id.
 SAMPLE_DOCS = 2000
@@ -98,25 +102,72 @@ def _codes(run: str) -> np.ndarray:
     return _CODE[np.frombuffer(run.encode(), np.uint8)]
 
 
+def _before(codes: np.ndarray) -> np.ndarray:
+    """The state before each character of a run: the character before, or a start."""
+    out = np.concatenate([[STATES], codes[:-1]]).astype(np.int64)
+    out[1:][_EDGE[codes[:-1]]] = STATES
+    return out
+
+
+def _heaviest(parts: list[tuple[int, int]], over: np.ndarray) -> list[tuple[int, int]]:
+    """The maximal segments of positive weight over neighbouring parts (Ruzzo and Tompa), by the cumulated weights."""
+    out: list[tuple[int, int, int]] = []  # with the number of the last segment that starts lower, -1 without one
+    for start, end in parts:
+        if over[end] <= over[start]:
+            continue
+        while True:
+            j = len(out) - 1
+            while j >= 0 and over[out[j][0]] >= over[start]:
+                j = out[j][2]
+            if j < 0 or over[out[j][1]] >= over[end]:
+                break
+            start = out[j][0]
+            del out[j:]
+        out.append((start, end, j))
+    return [(start, end) for start, end, _ in out]
+
+
 @dataclass
 class SecretModel:
     ratio: np.ndarray  # log-likelihood ratio of each transition, the first row from the start
     threshold: float
 
-    def value(self, run: str) -> float:
-        """Mean log-likelihood ratio of the run's characters, over 0 where random is likelier."""
+    def ratios(self, run: str) -> np.ndarray:
+        """Log-likelihood ratio of each of the run's characters, over 0 where random is likelier."""
         codes = _codes(run)
-        return float((self.ratio[STATES, codes[0]] + self.ratio[codes[:-1], codes[1:]].sum()) / len(codes))
+        return self.ratio[_before(codes), codes]
+
+    def value(self, run: str) -> float:
+        return float(self.ratios(run).mean())
+
+    def random_parts(self, run: str) -> list[tuple[int, int]]:
+        """(start, end) of what is random in a run."""
+        if len(run) < RUN or run.isdigit():
+            return []
+        over = np.concatenate([[0.0], np.cumsum(self.ratios(run) - self.threshold)])
+        whole = [(0, len(run))] if over[-1] > 0 else []
+        if "=" not in run and "/" not in run:
+            return whole
+        found = []
+        for start, end in _heaviest([m.span() for m in _PARTS.finditer(run)], over):
+            start, end = end - len(run[start:end].lstrip("=/")), start + len(run[start:end].rstrip("=/"))
+            if not run[end:].strip("="):  # padding
+                end = len(run)
+            if end - start >= RUN and not run[start:end].isdigit():
+                found.append((start, end))
+        return found or whole
 
     def spans(self, text: str) -> list[Span]:
         base = base_spans(text)
-        found = [
-            (at, 3, at + len(run))
-            for at, run in key_runs(text)
-            if not run.isdigit()
-            and not any(at < end and start < at + len(run) for start, _, end in base)
-            and self.value(run) > self.threshold
-        ]
+        found = []
+        for at, run in key_runs(text):
+            edges, end = [], at  # what base spans leave of the run
+            for start, _, stop in base:
+                if start < at + len(run) and at < stop:
+                    edges.append((end, start))
+                    end = max(end, stop)
+            for start, stop in (*edges, (end, at + len(run))):
+                found += [(start + a, 3, start + b) for a, b in self.random_parts(run[start - at : max(stop, start) - at])]
         return sorted(base + found)
 
 
@@ -131,7 +182,7 @@ class Encoded:
         codes = _codes("".join(strings)).astype(np.int64)
         size = np.array([len(s) for s in strings], np.int64)
         self.count, self.owner, self.to = len(strings), np.repeat(np.arange(len(strings)), size), codes
-        self.of = np.concatenate([[STATES], codes])[: len(codes)]
+        self.of = _before(codes) if len(codes) else codes
         self.of[np.cumsum(size) - size] = STATES  # no string is empty
 
     def transitions(self, weight: np.ndarray) -> np.ndarray:
