@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from tillroll.llm import fingerprints, forest, langid, neardup, packing, pieces, quality, secrets, toxicity, urlfilter
+from tillroll.llm import bestfit, divergence, fingerprints, forest, langid, neardup, packing, pieces, quality, secrets, toxicity, urlfilter, variants
 from tillroll.llm.batches import held_out, learnable
 from tillroll.session import ship
 
@@ -172,6 +172,57 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(table(spark, sf_dir, "documents"))
 
 
+_OP11_SQL = r"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents),
+w as (select r, lang, source, unnest(terms) as term from d),
+kept as (select lang, term, count(*) as total from w group by all having count(distinct r) >= 10),
+sizes as (select lang, count(*) as v, sum(total) as n from kept group by lang),
+cells as (select w.lang, w.source, w.term, count(*) as n from w join kept using (lang, term) group by all),
+groups as (
+  select g.lang, g.source, coalesce(s.v, 0) as v, coalesce(s.n, 0) as lang_n, coalesce(c.n, 0) as n
+  from (select distinct lang, source from d) g left join sizes s on g.lang = s.lang
+  left join (select lang, source, sum(n) as n from cells group by all) c on g.lang = c.lang and g.source = c.source),
+p as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (g.n + 2 * g.v) as p,
+    1 + (1000000000::hugeint * (k.total + 2)) // (g.lang_n + 2 * g.v) as q
+  from groups g join kept k on g.lang = k.lang left join cells c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+apart as (
+  select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(x.value, 0) as bigint) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join apart x on x.lang = a.lang and x.source = a.source and x.item = b.source),
+terms as (
+  select lang, source, 'term' as part, term as item, cast(((p - q) * (p - q)) // (p + q) as bigint) as value
+  from p where n > 0 and p > q),
+ranked as (
+  select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank
+  from (select * from pairs union all select * from terms))
+select * from ranked where part = 'pair' or rank <= 10
+"""
+
+
+@query("op11_divergence", _OP11_SQL)
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op12_bestfit")
+def op12_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query("op13_variants")
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
