@@ -46,10 +46,10 @@ def assert_probabilities(scores, n_classes, rows):
 LEARNERS = {
     "logistic": lambda: models.logistic(120, max_iter=20),
     "forest": lambda: models.forest(trees=10, depth=4),
-    "extra_trees": lambda: models.extra_trees(trees=10, depth=4),
-    "net": lambda: models.Network("net", (8,), max_iter=60),
-    "boosted": lambda: models.Boosted(rounds=5, depth=3, step=0.3, rows=1.0, features="all"),
-    "adaboost": lambda: models.RealAdaBoost(rounds=6, depth=2, rate=0.5, stage_every=2),
+    "extra_trees": lambda: models.ExtraTrees(trees=10, depth=4),
+    "net": lambda: models.Network("net", (32,), steps=80, rate=0.02),
+    "boosted": lambda: models.Boosted(rounds=5, depth=3, step=0.3, rows=1.0, features=1.0),
+    "adaboost": lambda: models.RealAdaBoost(rounds=6, depth=2, rate=0.5),
 }
 
 

@@ -1,0 +1,241 @@
+"""Trees and nets whose fits run together, against brute force on the same draws."""
+
+import numpy as np
+import pytest
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+
+from tillroll.operators import blocks, gradients, models, trees
+
+K, FEATURES = 3, 6
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    """Sparse and dense vectors, zeros, negative numbers, a feature that is always zero, one that is constant."""
+    rng = np.random.default_rng(8)
+    x = np.where(rng.random((240, FEATURES)) < 0.4, 0, np.round(rng.normal(size=(240, FEATURES)), 2))
+    x[:, 4], x[:, 5] = 0, 7
+    label = (x[:, 0] > 0.2).astype(int) + (x[:, 1] > 0) * (x[:, 2] < 0.1)
+    flip = rng.random(240) < 0.1
+    label[flip] = rng.integers(0, K, flip.sum())
+    frame = []
+    for i in range(240):
+        vector = Vectors.dense(x[i]) if i % 2 else Vectors.sparse(FEATURES, {j: float(v) for j, v in enumerate(x[i]) if v})
+        frame.append((i, int(label[i]), i % 3, vector))
+    df = spark.createDataFrame(frame, ["id", "label", "fold", "features"])
+    df = df.withColumns({"label": F.col("label").cast("int"), "fold": F.col("fold").cast("int")}).cache()
+    keys = {r.id: np.uint64(r.key % 2**64) for r in df.select("id", F.xxhash64(*df.columns).alias("key")).collect()}
+    return df, x, label, np.array([keys[i] for i in range(240)], np.uint64)
+
+
+def all_probs(scored):
+    return np.array([r.all_probs for r in scored.orderBy("id").collect()])
+
+
+def brute_tree(x, sums, member, asked, uid, flags_of, gain, least, most, depth=0):
+    """{row: sums of its leaf} of the rows ``asked``; a tree over ``member`` that tries every value a node has."""
+    total = sums[member].sum(0)
+    best = (least, None)
+    if depth < most:
+        for f in np.flatnonzero(flags_of(uid)):
+            for cut in np.unique(x[member, f])[:-1]:
+                value = float(gain(sums[member[x[member, f] <= cut]].sum(0)[None], total[None])[0])
+                if value > best[0]:
+                    best = (value, (f, cut))
+    if best[1] is None:
+        return dict.fromkeys(asked.tolist(), total)
+    f, cut = best[1]
+    out = {}
+    for side in (0, 1):
+        some, others = (rows[(x[rows, f] > cut) == side] for rows in (member, asked))
+        child = blocks.mix((uid << np.uint64(1)) ^ np.uint64(side))
+        out |= brute_tree(x, sums, some, others, child, flags_of, gain, least, most, depth + 1)
+    return out
+
+
+def binned(bins, x):
+    every = np.arange(FEATURES)
+    return np.stack([bins.of(every, row) for row in x]).astype(int)
+
+
+@pytest.mark.parametrize("share, sub", [(1.0, 1.0), (0.5, 0.7)])
+def test_booster_equals_brute_force(rows, share, sub):
+    df, x, label, key = rows
+    params = trees.BoostParams(4, 3, 0.3, sub, share, 2.0, 0.1, 1.8, 0.15, 1301)
+    masks = {f"_w{i}": (F.col("fold") != i).cast("int") for i in range(3)}
+    got = all_probs(trees.fit_boosted(df.withColumns(masks), K, list(masks), params)(df))
+    xb = binned(blocks.fit_bins(df, FEATURES), x)
+    gain = trees.boosted_gain(params)
+    for fit in range(3):
+        weight = (np.arange(240) % 3 != fit).astype(int)
+        margins = np.zeros((240, K))
+        for number in range(params.rounds):
+            g, h = trees.gradients(margins[:, None], label, weight[:, None], np.ones((1, K), bool))
+            drawn = np.flatnonzero((weight > 0) & (blocks.draw(params.seed, number, key) < sub))
+            step = np.zeros((240, K))
+            for c in range(K):
+                flags = blocks.subsets(np.array([blocks.mix(number) ^ np.uint64(c)]), FEATURES, share, params.seed)[0]
+                sums = np.stack([g[:, 0, c], h[:, 0, c]], 1)
+                found = brute_tree(xb, sums, drawn, np.arange(240), blocks.mix(c), lambda uid: flags, gain, params.gamma, params.depth)  # noqa: B023
+                step[:, c] = [trees.leaf_weights(found[i][None], params)[0] for i in range(240)]
+            margins += step
+        assert np.allclose(got[:, fit], trees.softmax(margins, np.ones(K, bool)), atol=1e-9)
+
+
+@pytest.mark.parametrize("most", [0, 40])
+def test_nodes_that_move_to_a_task_grow_the_same(rows, monkeypatch, most):
+    """All levels by jobs over the blocks, or some nodes taken over by tasks, against all nodes taken over."""
+    df = rows[0]
+    boost, ada = trees.BoostParams(3, 5, 0.3, 0.8, 0.6, 0.5, 0.0, 1.0, 0.0, 4), trees.AdaParams(3, 5, 0.5, 0.5, 9)
+    fits = (lambda: trees.fit_boosted(df, K, [], boost), lambda: trees.fit_adaboost(df, K, [], ada))
+    whole = [all_probs(fit()(df)) for fit in fits]
+    monkeypatch.setattr(trees, "LOCAL_ROWS", most)
+    for fit, wanted in zip(fits, whole):
+        assert np.array_equal(all_probs(fit()(df)), wanted)
+
+
+def jobs_of(spark, group, run):
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    run()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    return len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+def test_jobs_do_not_grow_with_classes_or_fits(spark, rows):
+    df = rows[0]
+    params = trees.BoostParams(3, 2, 0.3, 1.0, 1.0, 0.0, 0.0, 1.0, 0.0, 1)
+    wide = df.withColumns({f"_w{i}": F.lit(1) for i in range(5)})
+    few = jobs_of(spark, "few", lambda: trees.fit_boosted(df, K, [], params))
+    many = jobs_of(spark, "many", lambda: trees.fit_boosted(wide, 12, [f"_w{i}" for i in range(5)], params))
+    assert few == many
+    net = gradients.NetParams((4,), 3, "adam", None, 0.0, 0.0, 1)
+    few = jobs_of(spark, "one net", lambda: gradients.fit_nets(df, K, [], net))
+    many = jobs_of(spark, "five nets", lambda: gradients.fit_nets(wide, K, [f"_w{i}" for i in range(5)], net))
+    assert few == many
+
+
+def test_extra_trees_equal_brute_force(rows):
+    df, x, label, _ = rows
+    params = trees.ExtraParams(5, 4, 0.5, 77)
+    masks = {f"_w{i}": (F.col("fold") != i).cast("int") for i in range(2)}
+    got = all_probs(trees.fit_extra_trees(df.withColumns(masks), K, list(masks), params)(df))
+    hot = np.eye(K, dtype=np.int64)[label]
+    for fit in range(2):
+        inside = np.flatnonzero(np.arange(240) % 3 != fit)
+        mean = np.zeros((240, K))
+        for t in range(params.trees):
+            mean += brute_extra(x, hot, inside, np.arange(240), blocks.mix(t), params, 0)
+        mean /= params.trees
+        assert np.allclose(got[:, fit], mean / mean.sum(1, keepdims=True), atol=1e-12)
+
+
+def brute_extra(x, hot, member, asked, uid, params, depth):
+    """Class shares of the leaf of each of the rows ``asked``, zeros for others."""
+    out = np.zeros((len(x), K))
+    total = hot[member].sum(0)
+    best = (1e-9, None)
+    if depth < params.depth:
+        for f in np.flatnonzero(blocks.subsets(np.array([uid]), FEATURES, params.features, params.seed + 1)[0]):
+            low, high = x[member, f].min(), x[member, f].max()
+            if low == high:
+                continue
+            cut = min(low + blocks.draw(params.seed + 2, uid, f) * (high - low), np.nextafter(high, -np.inf))
+            value = float(trees.entropy_gain(hot[member[x[member, f] <= cut]].sum(0)[None], total[None])[0])
+            if value > best[0]:
+                best = (value, (f, cut))
+    if best[1] is None:
+        out[asked] = total / total.sum()
+        return out
+    f, cut = best[1]
+    for side in (0, 1):
+        goes = lambda some: some[(x[some, f] > cut) == side]  # noqa: B023, E731
+        child = blocks.mix((uid << np.uint64(1)) ^ np.uint64(side))
+        out += brute_extra(x, hot, goes(member), goes(asked), child, params, depth + 1)
+    return out
+
+
+def test_thresholds_in_groups_are_the_same(rows, monkeypatch):
+    df = rows[0]
+    params = trees.ExtraParams(6, 4, 0.5, 5)
+    whole = all_probs(trees.fit_extra_trees(df, K, [], params)(df))
+    monkeypatch.setattr(trees, "GROUP_BYTES", 1000)
+    assert np.array_equal(all_probs(trees.fit_extra_trees(df, K, [], params)(df)), whole)
+
+
+def test_adaboost_equals_brute_force(rows):
+    df, x, label, _ = rows
+    params = trees.AdaParams(4, 2, 0.5, 0.5, 9)
+    masks = {f"_w{i}": (F.col("fold") != i).cast("int") for i in range(2)}
+    got = all_probs(trees.fit_adaboost(df.withColumns(masks), K, list(masks), params)(df))
+    xb = binned(blocks.fit_bins(df, FEATURES), x)
+    hot = np.eye(K, dtype=np.int64)[label]
+    for fit in range(2):
+        w = (np.arange(240) % 3 != fit).astype(float)
+        logs = np.zeros((240, K))
+        for number in range(params.rounds):
+            w *= (np.arange(240) % 3 != fit).sum() / w.sum()
+            fixed = np.rint(w * trees.WEIGHT_ONE).astype(np.int64)
+            flags = lambda uid: blocks.subsets(np.array([uid ^ blocks.mix(number)]), FEATURES, params.features, params.seed)[0]  # noqa: B023, E731
+            found = brute_tree(xb, hot * fixed[:, None], np.flatnonzero(fixed), np.arange(240), blocks.mix(0), flags, trees.entropy_gain, 1e-9 * trees.WEIGHT_ONE, params.depth)
+            own = np.log(np.maximum([found[i] / found[i].sum() for i in range(240)], 1e-15))
+            logs += own
+            true = own[np.arange(240), label]
+            w = w * np.exp(-params.rate * (K - 1) / K * (true - (own.sum(1) - true) / (K - 1)))
+        assert np.allclose(got[:, fit], trees.softmax(logs / params.rounds, np.ones(K, bool)), atol=1e-6)
+
+
+def test_nets_together_equal_nets_alone(rows):
+    df = rows[0].withColumns({f"_w{i}": (F.col("id") * 7 % (i + 2)).cast("int") for i in range(3)})
+    params = gradients.NetParams((8, 8), 12, "adam", 0.02, 0.2, 0.2, 3)
+    together = all_probs(gradients.fit_nets(df, K, ["_w0", "_w1", "_w2"], params)(df))
+    for i in range(3):
+        alone = all_probs(gradients.fit_nets(df, K, [f"_w{i}"], params)(df))
+        assert np.allclose(together[:, i], alone[:, 0], atol=1e-5)
+    assert not np.allclose(together[:, 0], together[:, 1], atol=1e-3)
+
+
+@pytest.mark.parametrize("slopes", [True, False])
+def test_net_gradient_is_that_of_the_loss(slopes):
+    rng = np.random.default_rng(2)
+    shape = gradients.Shape((4, 5, 3)) if slopes else gradients.Shape((4, 3))
+    z, label, weight = rng.normal(size=(20, 4)), rng.integers(0, 3, 20), rng.integers(0, 3, 20)
+    theta = rng.normal(size=len(shape))
+    masks = [(rng.random((20, n)) < 0.8) * 1.25 for n in shape.sizes[:-1]]
+    present = np.ones(3, bool)
+
+    def loss(theta):
+        p = trees.softmax(gradients.forward(z, shape.layers(theta), masks)[0], present)
+        return -(weight * np.log(p[np.arange(20), label])).sum()
+
+    got = gradients.gradient(z, label, weight, theta, shape, masks, present)
+    for i in range(len(theta)):
+        e = np.zeros_like(theta)
+        e[i] = 1e-5
+        assert got[i] == pytest.approx((loss(theta + e) - loss(theta - e)) / 2e-5, abs=2e-3)
+
+
+@pytest.mark.parametrize("optimizer", ["adam", "rmsprop", "adadelta"])
+def test_optimizers_lower_the_loss(optimizer):
+    mover, theta = gradients.Mover(optimizer, 0.05 if optimizer != "adadelta" else 1.0), np.array([3.0, -2.0])
+    for _ in range(400):
+        theta = mover.move(theta, 2 * theta)
+    assert np.abs(theta).max() < (2 if optimizer == "adadelta" else 0.8)
+
+
+def test_bins_tell_zero_apart(spark):
+    values = [(-3.0,), (-0.5,), (0.0,), (0.25,), (9.0,)] * 30
+    df = spark.createDataFrame([(Vectors.dense([v, 0.0]),) for (v,) in values], ["features"])
+    bins = blocks.fit_bins(df, 2)
+    got = bins.of(np.zeros(5, np.int64), np.array([-3.0, -0.5, 0.0, 0.25, 9.0]))
+    assert len(set(got.tolist())) == 5 and (np.diff(got.astype(int)) > 0).all() and got[2] == bins.zero[0]
+    many = spark.range(5000).selectExpr("id - 2500 as v").collect()
+    wide = blocks.fit_bins(spark.createDataFrame([(Vectors.dense([float(r.v)]),) for r in many], ["features"]), 1)
+    assert wide.starts[1] <= blocks.MAX_BINS - 1
+
+
+def test_learners_keep_columns_and_order(rows):
+    df = rows[0]
+    score = models.Boosted(rounds=2, depth=2).fit(df, K)
+    assert score(df).columns == ["id", "label", "fold", "probs"]

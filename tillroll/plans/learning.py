@@ -42,9 +42,9 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return train, rows.filter(F.col("side") == "test").select("vec_id", "label", "vec", "features")
 
 
-def _small_learners(n_rows: int) -> list:
-    """Short runs of each model family, so that a check of the plumbing stays quick."""
-    return [m.logistic(n_rows, max_iter=10), m.forest(trees=8, depth=5)]
+def _two_learners(n_rows: int) -> list:
+    """Two of the published models, one that wants scaled inputs and one that does not."""
+    return [m.logistic(n_rows), m.forest()]
 
 
 def _shape(probs: str = "probs") -> list:
@@ -73,7 +73,7 @@ _MODELS = "(select unnest(['logistic', 'forest']) as model)"
 )
 def stack_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _sides(spark, sf_dir)
-    scores = stacking.out_of_fold(train, _small_learners(train.count()), N_CLASSES, N_FOLDS, "vec_id")
+    scores = stacking.out_of_fold(train, _two_learners(train.count()), N_CLASSES, N_FOLDS, "vec_id")
     return _checked(to_long(scores), ["vec_id", "model"])
 
 
@@ -86,32 +86,32 @@ _VALID = f"cast({N_CLASSES} as int) as n_classes, cast(1.0 as double) as prob_to
 )
 def stack_oof_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _sides(spark, sf_dir)
-    scores = stacking.out_of_fold(train, _small_learners(train.count()), N_CLASSES, N_FOLDS, "vec_id", scale=True)
+    scores = stacking.out_of_fold(train, _two_learners(train.count()), N_CLASSES, N_FOLDS, "vec_id", scale=True)
     return scores.join(train.select("vec_id", "fold"), "vec_id").select("vec_id", "fold", "model", *_shape())
 
 
 @query("stack_test", f"with {_SPLIT} select vec_id, model, {_VALID} from test, {_MODELS}")
 def stack_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _sides(spark, sf_dir)
-    scores = stacking.refit_scores(train, test, _small_learners(train.count()), N_CLASSES, "vec_id", scale=True)
+    scores = stacking.refit_scores(train, test, _two_learners(train.count()), N_CLASSES, "vec_id", scale=True)
     return scores.select("vec_id", "model", *_shape())
 
 
-@query("bootstrap_draws", "select cast(i as int) as round, count(*) as rows_drawn from embeddings, range(5) r(i) group by 1")
+@query("bootstrap_draws", f"select cast(i as int) as round, count(*) as rows_drawn from embeddings, range({stacking.BAGGING_ROUNDS}) r(i) group by 1")
 def bootstrap_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every round draws as many rows as there are."""
     from tillroll.operators import folds
     from tillroll.sources.star import vectors
 
-    draws = folds.bootstrap_draws(vectors(spark, sf_dir), "vec_id", 5, stacking.BAGGING_SEED)
+    draws = folds.bootstrap_draws(vectors(spark, sf_dir), "vec_id", stacking.BAGGING_ROUNDS, stacking.BAGGING_SEED)
     return draws.groupBy("round").agg(F.sum("draws").alias("rows_drawn"))
 
 
 @query("bagged_probs", f"with {_SPLIT} select vec_id, {_VALID} from test")
 def bagged_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _sides(spark, sf_dir)
-    net = m.Network("net", (16,), max_iter=10)
-    return stacking.bagged_scores(train, test, net, N_CLASSES, "vec_id", rounds=3).select("vec_id", *_shape())
+    net = m.final_learners()[1]
+    return stacking.bagged_scores(train, test, net, N_CLASSES, "vec_id").select("vec_id", *_shape())
 
 
 TOLD_CLASSES = 4
@@ -145,32 +145,32 @@ def _one_model(spark: SparkSession, sf_dir: str, learner_of: Callable) -> DataFr
 
 @query("model_lr", _LEARNT)
 def model_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_model(spark, sf_dir, lambda n: m.logistic(n, max_iter=20))
+    return _one_model(spark, sf_dir, m.logistic)
 
 
 @query("model_rf", _LEARNT)
 def model_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_model(spark, sf_dir, lambda n: m.forest(trees=20, depth=6))
+    return _one_model(spark, sf_dir, lambda n: m.forest())
 
 
 @query("model_mlp", _LEARNT)
 def model_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_model(spark, sf_dir, lambda n: m.Network("net", (32, 32), max_iter=20))
+    return _one_model(spark, sf_dir, lambda n: m.net_learners(n)[0])
 
 
 @query("model_gbt", _LEARNT)
 def model_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_model(spark, sf_dir, lambda n: m.Boosted("boosted", rounds=3, depth=3))
+    return _one_model(spark, sf_dir, lambda n: m.Boosted())
 
 
 @query("model_extra_trees", _LEARNT)
 def model_extra_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_model(spark, sf_dir, lambda n: m.extra_trees(trees=20, depth=6))
+    return _one_model(spark, sf_dir, lambda n: m.ExtraTrees())
 
 
 @query("model_adaboost", _LEARNT)
 def model_adaboost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_model(spark, sf_dir, lambda n: m.RealAdaBoost(rounds=6, depth=4))
+    return _one_model(spark, sf_dir, lambda n: m.RealAdaBoost())
 
 
 # Second level on vectors.
@@ -185,8 +185,7 @@ def _second_level(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     knn_train, knn_test = stacking.neighbor_scores(train, test, list(spec.ks), N_CLASSES, "vec_id")
     scores = {"train": knn_train, "test": knn_test}
     for learners, scale in ((spec.trees, False), (spec.nets, True)):
-        inside = stacking.out_of_fold(train, learners, N_CLASSES, N_FOLDS, "vec_id", scale, parallelism=AT_ONCE)
-        outside = stacking.refit_scores(train, test, learners, N_CLASSES, "vec_id", scale, parallelism=AT_ONCE)
+        inside, outside = stacking.stack_scores(train, test, learners, N_CLASSES, N_FOLDS, "vec_id", scale, parallelism=AT_ONCE)
         scores = {"train": scores["train"].unionByName(inside), "test": scores["test"].unionByName(outside)}
     sides = {"train": train, "test": test}
     return *_stack_sides(scores, sides, spec.names, spec.guide, N_CLASSES, "vec_id"), spec
@@ -294,8 +293,7 @@ def visit_submission(spark: SparkSession, sf_dir: str, spec_of: Callable[[int],
     # Trees on the raw features; nets and logistic regression on the log features, scaled per fold but not centred.
     for rows, learners, scale in ((raw, spec.trees, False), (logged, spec.nets, True)):
         train, test = rows.filter(is_train), rows.filter(~is_train)
-        inside = stacking.out_of_fold(train, learners, k, N_FOLDS, key, scale, centre=False, parallelism=AT_ONCE)
-        outside = stacking.refit_scores(train, test, learners, k, key, scale, centre=False, parallelism=AT_ONCE)
+        inside, outside = stacking.stack_scores(train, test, learners, k, N_FOLDS, key, scale, centre=False, parallelism=AT_ONCE)
         scores = {"train": scores["train"].unionByName(inside), "test": scores["test"].unionByName(outside)}
     stacked_train, stacked_test = _stack_sides(scores, sides, spec.names, spec.guide, k, key)
     long = _final_blend(stacked_train, stacked_test, key, k, spec.final_trees, spec.final_net, spec.bagging_rounds)
