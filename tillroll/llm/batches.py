@@ -56,17 +56,21 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def hash_sample(rows: DataFrame, label: str, bound: int) -> DataFrame:
-    """``rows`` (doc_id, label, ...) with n: the first ``bound`` rows of each label in hash order of the id.
+def sampled(rows: DataFrame, label: str, bound: int) -> DataFrame:
+    """``rows`` (doc_id, text, label, ...) with n: the first ``bound`` of each label in hash order of id and text.
 
-    A hash limit from each label's count leaves a few times ``bound`` rows before they are ranked, so no task ranks
-    more than that. The counts are one row per label.
+    Rows of equal id and text count once. A hash limit from each label's approximate number of them leaves a little
+    more than ``bound`` before they are ranked, so no task ranks more; the numbers are one row per label.
     """
-    counts = rows.groupBy(label).agg(F.count("*").alias("rows_of_label"))
-    place = F.xxhash64("doc_id").cast("double") / F.lit(2.0**64) + 0.5
-    few = rows.join(F.broadcast(counts), label).where(place * F.col("rows_of_label") <= 4 * bound).drop("rows_of_label")
-    order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id"), "doc_id")
-    return few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= bound)
+    keyed = rows.withColumn("sample_key", F.xxhash64("doc_id", "text"))
+    counts = keyed.groupBy(label).agg(F.approx_count_distinct("sample_key", 0.01).alias("rows_of_label"))
+    place = F.col("sample_key").cast("double") / F.lit(2.0**64) + 0.5
+    few = keyed.select(label, "sample_key").join(F.broadcast(counts), label)
+    few = few.where(place * F.col("rows_of_label") <= 1.25 * bound + 200).select(label, "sample_key").distinct()
+    order = Window.partitionBy(label).orderBy("sample_key")
+    few = few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= bound)
+    # Bounded by ``bound`` times the labels.
+    return keyed.join(F.broadcast(few), [label, "sample_key"]).dropDuplicates([label, "sample_key"]).drop("sample_key")
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 30) -> np.ndarray:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.batches import Batches, batch_of, hash_sample, keep_batches, map_batches, texts_of
+from tillroll.llm.batches import Batches, batch_of, keep_batches, map_batches, sampled, texts_of
 
 BUCKETS = 1 << 14
 DIM = 16
@@ -50,11 +50,18 @@ def letters() -> np.ndarray:
 
 
 def _parts(texts: list[str]):
-    """(text numbers, strings) groups of about SLICE characters; a longer text is cut."""
+    """(text numbers, strings) groups of about SLICE characters; a longer text is cut where a word ends, if one does."""
     owners, parts, size = [], [], 0
     for i, text in enumerate(texts):
-        for at in range(0, max(len(text), 1), SLICE):
-            part = text[at : at + SLICE]
+        at = 0
+        while at < max(len(text), 1):
+            end = at + SLICE
+            if end < len(text):
+                # Between two characters of which one is no letter a cut changes nothing.
+                back = next((e for e in range(end, at, -1) if not (text[e].isalpha() and text[e - 1].isalpha())), None)
+                end = back or next((e for e in range(end, len(text)) if not (text[e].isalpha() and text[e - 1].isalpha())), len(text))
+            part = text[at:end]
+            at = max(end, at + 1)
             owners.append(i)
             parts.append(part)
             size += len(part)
@@ -171,10 +178,8 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], names: list[str]) -> Langua
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
     """Train on a sample of at most ROWS_PER_LANGUAGE rows of each non-null language; texts are used whole."""
     rows = docs.where(F.col(lang).isNotNull())
-    ids = hash_sample(rows.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang")), "lang", ROWS_PER_LANGUAGE)
-    some = rows.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    # Bounded by ROWS_PER_LANGUAGE times the languages.
-    some = some.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi")
+    rows = rows.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    some = sampled(rows, "lang", ROWS_PER_LANGUAGE)
     seen = map_batches(some.select("lang", "text"), _count_batches, "lang string, ids array<int>, counts array<long>")
     rows = [(np.array(r.ids), np.array(r.counts)) + (r.lang,) for r in seen.collect() if r.ids]
     rows.sort(key=lambda r: (r[2], len(r[0]), int(r[1].sum()), r[0].tobytes(), r[1].tobytes()))

@@ -217,23 +217,27 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 def groups(docs: DataFrame, words: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per document: doc_id, fp, fingerprint (16 hex digits), component_id (least doc_id of its group)."""
     rows = stage(fingerprints(docs, words))
-    # A node is named by its least document; nodes of null ids only are named apart, below all ids' use.
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    nodes = stage(nodes.withColumn("node", F.coalesce("least", F.xxhash64("fp"))))
-    found = components(links(nodes.select("fp", "node"), radius))
-    named = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    found = components(links(nodes.select("fp", F.col("fp").alias("node")), radius))
+    # A component is named by its least document afterwards; null ids have no say.
+    named = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", F.coalesce("component", "fp").alias("component"), "least")
+    names = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.join(names, "component").select("fp", "component_id")
     out = rows.join(named, "fp")
     return out.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicate(docs: DataFrame, words: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents with one row of each group kept, one of those of the least id; all columns stay.
-
-    A null id is named by its text's hash here, so its group keeps a row too. Rows of one id are one document: what
-    either is near to is one group.
+    """The documents with one row of each group kept: of the least id, then of the least hash of the text; all columns
+    stay. Ids do not join what fingerprints keep apart: rows with one id and unlike texts are of different groups. A null
+    id comes last, so a group of null ids keeps a row too.
     """
-    name = next(n for i in range(len(docs.columns) + 1) if (n := f"name_{i}") not in docs.columns)
-    named = docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no id"), F.coalesce("text", F.lit("")))))
-    found = groups(named.select(F.col(name).alias("doc_id"), "text"), words, radius)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
-    return named.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)
+    names: list[str] = []
+    while len(names) < 3:
+        names.append(next(n for i in range(len(docs.columns) + 3) if (n := f"name_{i}") not in (*docs.columns, *names)))
+    zero = F.lit(0).cast(docs.schema["doc_id"].dataType)
+    name = dict(zip(names, (F.col("doc_id").isNull(), F.coalesce("doc_id", zero), F.xxhash64(F.coalesce("text", F.lit(""))))))
+    named = docs.withColumns(name)
+    found = groups(named.select(F.struct(*names).alias("doc_id"), "text"), words, radius)
+    kept = found.select("component_id.*").distinct()
+    return named.join(kept, names, "left_semi").dropDuplicates(names).drop(*names)

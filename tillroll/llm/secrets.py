@@ -18,6 +18,8 @@ identifier model is uniform.
 from __future__ import annotations
 
 import re
+import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.batches import Batches, batch_of, map_batches, texts_of
+from tillroll.llm.batches import Batches, batch_of, map_batches, sampled, texts_of
 
 # The base patterns.
 ASSIGN = re.compile(
@@ -50,7 +52,7 @@ STATES = len(KEY_CHARACTERS)
 _EDGE = np.isin(np.arange(STATES), [KEY_CHARACTERS.index(c) for c in "=/"])
 _PARTS = re.compile(r"[^=/]+|[=/]")
 SMOOTHING, BACKING = 0.5, 5.0
-# Bound of the fitted sample: documents in hash order of the id.
+# Bound of the fitted sample: documents in hash order of id and text.
 SAMPLE_DOCS = 2000
 DRAWN = 4000
 SEED = 11
@@ -60,8 +62,8 @@ JOINS = ("_", "-", "/", "=", "")
 # Least log-likelihood ratio per character, and the share of kept-back identifiers that may pass.
 LEAST_RATIO = 0.5
 FALSE_SHARE = 1e-3
-# Training strings of one side that a task returns, and the longest piece of one.
-STRINGS, STRING = 20_000, 200
+# Bounds of the fitted sample: strings of one label, characters of one of them, and words of one document (in hash order).
+STRINGS, STRING, WORDS = 20_000, 200, 200
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -89,15 +91,39 @@ def key_runs(text: str) -> list[tuple[int, str]]:
         return []
     breaks = np.flatnonzero(~_IN_RUN[np.frombuffer(raw, np.uint8)])
     edges = np.concatenate([[-1], breaks, [len(raw)]])
-    plain = len(raw) == len(text)
+    # Code points up to each byte, where they are not the bytes themselves.
+    points = None if len(raw) == len(text) else np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)])
     out = []
     for i in np.flatnonzero(np.diff(edges) > RUN):
         start, end = int(edges[i]) + 1, int(edges[i + 1])
-        at = start if plain else len(raw[:start].decode("utf-8", "replace"))
-        out.append((at, raw[start:end].decode()))
+        out.append((start if points is None else int(points[start]), raw[start:end].decode()))
     return out
 
 
+def covered(spans: list[Span]) -> list[tuple[int, int]]:
+    """What spans cover, as disjoint ranges in order. ``spans`` are sorted by start."""
+    out: list[tuple[int, int]] = []
+    for start, _, end in spans:
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], end))
+        else:
+            out.append((start, end))
+    return out
+
+
+def meeting(ranges: list[tuple[int, int]], places: Iterable[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+    """For each of the disjoint ``places``, in order, the ``ranges`` that it meets: one sweep over both."""
+    first = 0
+    for start, end in places:
+        while first < len(ranges) and ranges[first][1] <= start:
+            first += 1
+        last = first
+        while last < len(ranges) and ranges[last][0] < end:
+            last += 1
+        yield ranges[first:last]
+        first = max(first, last - 1)  # the last one may reach into the next place
+
+
 def _codes(run: str) -> np.ndarray:
     return _CODE[np.frombuffer(run.encode(), np.uint8)]
 
@@ -160,12 +186,12 @@ class SecretModel:
     def spans(self, text: str) -> list[Span]:
         base = base_spans(text)
         found = []
-        for at, run in key_runs(text):
+        runs = key_runs(text)
+        for (at, run), met in zip(runs, meeting(covered(base), [(at, at + len(run)) for at, run in runs])):
             edges, end = [], at  # what base spans leave of the run
-            for start, _, stop in base:
-                if start < at + len(run) and at < stop:
-                    edges.append((end, start))
-                    end = max(end, stop)
+            for start, stop in met:
+                edges.append((end, start))
+                end = stop
             for start, stop in (*edges, (end, at + len(run))):
                 found += [(start + a, 3, start + b) for a, b in self.random_parts(run[start - at : max(stop, start) - at])]
         return sorted(base + found)
@@ -257,10 +283,9 @@ def _samples(batches: Batches) -> Batches:
                 value = text[start:end]
                 labels.append(True)
                 strings.append((ASSIGN.match(value)[2] if kind == 0 else value)[:STRING])
-            words = {
-                m[0][:STRING] for m in _WORD.finditer(text) if not any(m.start() < e and s < m.end() for s, _, e in spans)
-            }
-            words = sorted(words)[:: max(1, len(words) // 200)]
+            places = [m.span() for m in _WORD.finditer(text)]
+            free = {text[a:b][:STRING] for (a, b), met in zip(places, meeting(covered(spans), places)) if not met}
+            words = sorted(free, key=lambda w: (zlib.crc32(w.encode()), w))[:WORDS]
             labels += [False] * len(words)
             strings += words
         yield batch_of(secret=pa.array(labels, pa.bool_()), run=pa.array(strings, pa.string()))
@@ -268,9 +293,8 @@ def _samples(batches: Batches) -> Batches:
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> SecretModel:
     """Train on the strings of SAMPLE_DOCS documents (at most STRINGS strings of each label, in hash order)."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    ids = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    some = rows.join(F.broadcast(ids.distinct()), "doc_id", "left_semi")  # bounded by SAMPLE_DOCS
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lit(0).alias("label"))
+    some = sampled(rows, "label", SAMPLE_DOCS)
     strings = map_batches(some.select("text"), _samples, "secret boolean, run string").distinct()
     taken = {
         label: [r.run for r in strings.where(F.col("secret") == label).orderBy(F.xxhash64("run"), "run").limit(STRINGS).collect()]

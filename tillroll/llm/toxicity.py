@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.batches import Batches, batch_of, hash_sample, keep_batches, learnable, logistic, map_batches, sigmoid, texts_of
+from tillroll.llm.batches import Batches, batch_of, keep_batches, learnable, logistic, map_batches, sampled, sigmoid, texts_of
+from tillroll.session import stage
 
 # Bound of the fitted sample: labelled rows of each label, in hash order of the id.
 ROWS_PER_LABEL = 4000
@@ -187,11 +188,15 @@ def lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
-    """(doc_id, text, y, fold) of at most ``bound`` learnable rows of each label; fold 0 or 1 in halves."""
+    """(doc_id, text, y, fold) of at most ``bound`` learnable rows of each label; fold 0 or 1 in halves.
+
+    An id with several labels has the greatest. Rows of equal id and text count once.
+    """
     known = labels.where(learnable() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
-    known = hash_sample(known, "y", bound).select("doc_id", "y", (F.col("n") % 2).alias("fold"))
-    # Bounded by ``bound`` times the two labels.
-    return docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    # No more labels than these are needed, as each stands for a row at least.
+    known = sampled(known.withColumn("text", F.lit("")), "y", 2 * bound).select("doc_id", "y")
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    return stage(sampled(rows, "y", bound).select("doc_id", "text", "y", (F.col("n") % 2).alias("fold")))
 
 
 def _gram_counts(batches: Batches) -> Batches:

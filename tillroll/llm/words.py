@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 import numpy as np
 
-# Words remembered; beyond them the store starts anew.
-LIMIT = 1_000_000
+# Words and ids remembered; beyond either the store starts anew. Longer words than LONGEST are not remembered.
+LIMIT, IDS, LONGEST = 1_000_000, 8_000_000, 64
 # Code points handled at once; a longer text is handled alone.
 SLICE = 1 << 20
 
@@ -73,6 +73,21 @@ class WordStore:
 
     def look_up(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in turn, and how many each has."""
+        sizes = np.diff(np.append(starts, len(codes)))
+        short = sizes <= LONGEST
+        if short.all():
+            return self._stored(codes, starts)
+        counts = np.zeros(len(starts), np.int64)
+        some = sizes[short]
+        known, counts[short] = self._stored(codes[ranges(starts[short], some)], np.cumsum(some) - some)
+        new, counts[~short] = self.encode(codes[ranges(starts[~short], sizes[~short])], sizes[~short])
+        at = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), self.kind)
+        out[ranges(at[short], counts[short])] = known
+        out[ranges(at[~short], counts[~short])] = new
+        return out, counts
+
+    def _stored(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(starts):
             return np.zeros(0, self.kind), np.zeros(0, np.int64)
         sizes = np.diff(np.append(starts, len(codes)))
@@ -81,7 +96,7 @@ class WordStore:
         if not np.array_equal(second[which][back], second):  # two words with one hash: no sharing here
             ids, counts = self.encode(codes, sizes)
             return ids.astype(self.kind), counts
-        if len(self.first) > LIMIT:
+        if len(self.first) > LIMIT or len(self.ids) > IDS:
             self.clear()
         place = np.searchsorted(self.first, distinct)
         found = np.zeros(len(distinct), bool)
@@ -91,7 +106,7 @@ class WordStore:
             found = same & (self.second[near] == second[which])
             if (same & ~found).any():
                 self.clear()
-                return self.look_up(codes, starts)
+                return self._stored(codes, starts)
         if not found.all():
             new = which[~found]
             ids, counts = self.encode(codes[ranges(starts[new], sizes[new])], sizes[new])
