@@ -42,6 +42,9 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return train, rows.filter(F.col("side") == "test").select("vec_id", "label", "vec", "features")
 
 
+AT_ONCE = 8  # independent fits that overlap
+
+
 def _two_learners(n_rows: int) -> list:
     """Two of the published models, one that wants scaled inputs and one that does not."""
     return [m.logistic(n_rows), m.forest()]
@@ -73,7 +76,7 @@ _MODELS = "(select unnest(['logistic', 'forest']) as model)"
 )
 def stack_oof(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _sides(spark, sf_dir)
-    scores = stacking.out_of_fold(train, _two_learners(train.count()), N_CLASSES, N_FOLDS, "vec_id")
+    scores = stacking.out_of_fold(train, _two_learners(train.count()), N_CLASSES, N_FOLDS, "vec_id", parallelism=AT_ONCE)
     return _checked(to_long(scores), ["vec_id", "model"])
 
 
@@ -86,14 +89,14 @@ _VALID = f"cast({N_CLASSES} as int) as n_classes, cast(1.0 as double) as prob_to
 )
 def stack_oof_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _sides(spark, sf_dir)
-    scores = stacking.out_of_fold(train, _two_learners(train.count()), N_CLASSES, N_FOLDS, "vec_id", scale=True)
+    scores = stacking.out_of_fold(train, _two_learners(train.count()), N_CLASSES, N_FOLDS, "vec_id", scale=True, parallelism=AT_ONCE)
     return scores.join(train.select("vec_id", "fold"), "vec_id").select("vec_id", "fold", "model", *_shape())
 
 
 @query("stack_test", f"with {_SPLIT} select vec_id, model, {_VALID} from test, {_MODELS}")
 def stack_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _sides(spark, sf_dir)
-    scores = stacking.refit_scores(train, test, _two_learners(train.count()), N_CLASSES, "vec_id", scale=True)
+    scores = stacking.refit_scores(train, test, _two_learners(train.count()), N_CLASSES, "vec_id", scale=True, parallelism=AT_ONCE)
     return scores.select("vec_id", "model", *_shape())
 
 
@@ -175,8 +178,6 @@ def model_adaboost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Second level on vectors.
 
-AT_ONCE = 8  # independent fits that overlap
-
 
 def _second_level(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, EnsembleSpec]:
     """Stacked train and test frames of the ensemble."""
