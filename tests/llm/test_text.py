@@ -12,7 +12,7 @@ import sentencepiece
 import xxhash
 from tokenizers import Tokenizer
 
-from tillroll.llm import bytebpe, fingerprints, langid, neardup, packing, pieces, quality, secrets, toxicity
+from tillroll.llm import batches, bytebpe, fingerprints, langid, neardup, packing, pieces, quality, secrets, toxicity
 from tillroll.llm.components import components
 from tillroll.session import ship
 
@@ -276,6 +276,110 @@ def test_neardup_rows(docs, spark):
     assert sorted(str(r.doc_id) for r in neardup.deduplicate(bare).collect()) == ["42", "43", "None"]
 
 
+def near_texts():
+    """Two texts that differ in their last word and by one to three bits."""
+    body = " ".join(f"word{i}" for i in range(60))
+    first = f"{body} end"
+    for i in range(1000):
+        other = f"{body} end{i}"
+        if 0 < (int(neardup.fingerprint(first)) ^ int(neardup.fingerprint(other))).bit_count() <= 3:
+            return first, other
+
+
+NEAR = near_texts()
+
+
+def test_neardup_null_ids_name_nothing(spark):
+    """Near texts of which one has no id; a group without any id."""
+    rows = [(1, NEAR[0]), (None, NEAR[1]), (None, "alone among others here"), (None, "alone among others here")]
+    found = neardup.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.component_id) for r in found if r.component_id) == [("1", 1), ("None", 1)]
+    assert [r.doc_id for r in found if r.component_id is None] == [None, None]
+
+
+def test_deduplicate_does_not_join_by_id(spark):
+    """Unlike texts of one id all stay; of near texts one does, whatever their ids."""
+    rows = [(9, "all these words are of the first text"), (9, "others make up what the second one says"), (9, NEAR[0]), (3, NEAR[1]), (None, NEAR[0]), (9, NEAR[0])]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, name_0 int")
+    kept = sorted((r.doc_id, r.text) for r in neardup.deduplicate(docs).collect())
+    assert kept == sorted([(3, NEAR[1]), (9, rows[0][1]), (9, rows[1][1])])
+
+
+def test_sample_takes_rows_not_ids(spark):
+    """One id on thousands of rows, one text on thousands, a label of few rows."""
+    rows = [(7, f"text {i}", "en") for i in range(5000)] + [(i, f"der Text {i}", "de") for i in range(700)] + [(1, "same", "fr")] * 4000 + [(None, f"x {i}", None) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    taken = batches.sampled(docs.where("lang is not null"), "lang", 300).collect()
+    count = {lang: [r.n for r in taken if r.lang == lang] for lang in ("en", "de", "fr")}
+    assert sorted(count["en"]) == sorted(count["de"]) == list(range(1, 301)) and count["fr"] == [1]
+    assert set(taken[0].asDict()) == {"doc_id", "text", "lang", "n"}
+    labels = spark.createDataFrame([(7, 1), (8, 0), (None, 1)], "doc_id long, toxic int")
+    some = toxicity.labelled_sample(docs, labels, "toxic", 100).collect()
+    assert [r.y for r in some if r.doc_id == 7] == [1] * (100 if zlib.crc32(b"7") % 4 != 2 else 0)
+
+
+def brute_random(model, text):
+    """Spans of the whole text by looking at every base span for every run."""
+    base = secrets.base_spans(text)
+    found = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text, re.ASCII):
+        free = [not any(s <= i < e for s, _, e in base) for i in range(m.start(), m.end())]
+        at = 0
+        while at < len(free):
+            end = at
+            while end < len(free) and free[end]:
+                end += 1
+            if end > at:
+                run = text[m.start() + at : m.start() + end]
+                found += [(m.start() + at + a, 3, m.start() + at + b) for a, b in model.random_parts(run)]
+            at = end + 1
+    return sorted(base + found)
+
+
+def test_one_sweep_equals_all_spans():
+    rng = random.Random(6)
+    model = secrets.train([], ["ordinary_names", "and_other_words", "some_more_words_here"])
+    key = lambda n: "".join(rng.choices("ABCDEFabcdef0123456789xyzXYZ", k=n))
+    makers = [lambda: f"password={key(12)}", lambda: f"é{key(40)}", lambda: key(30).lower(), lambda: f"token: '{key(9)}/{key(30)}'", lambda: "AKIA" + key(20).upper(), lambda: f"a/{key(20)}=secret={key(8)}", lambda: "ordinary words", lambda: "0123456789abcdef" * 3]
+    for _ in range(200):
+        text = "".join(rng.choice(makers)() + rng.choice([" ", "", "\n", "="]) for _ in range(rng.randint(0, 12)))
+        assert model.spans(text) == brute_random(model, text)
+
+
+def test_long_texts_take_linear_time():
+    import time
+
+    model = secrets.train([], ["ordinary_names"])
+    text = " ".join(f"password=abcdef{i} é some_identifier_number_{i}" for i in range(100_000))
+    began = time.time()
+    assert len([s for s in model.spans(text) if s[1] == 0]) == 100_000
+    assert time.time() - began < 30
+
+
+def test_word_store_is_bounded():
+    """Long words are not remembered; short ones only up to the number of ids."""
+    from tillroll.llm import words
+
+    store = words.WordStore(lambda codes, sizes: (codes.copy(), sizes.copy()), np.uint32)
+    rng = random.Random(1)
+    texts = [["".join(rng.choices("abc", k=rng.choice([3, 60, 65, 4000]))) for _ in range(30)] for _ in range(20)]
+    for some in texts:
+        codes = words.code_points("".join(some))
+        starts = np.cumsum([0] + [len(w) for w in some[:-1]])
+        ids, counts = store.look_up(codes, starts)
+        assert (ids == codes).all() and counts.tolist() == [len(w) for w in some]
+    assert len(store.ids) <= 20 * 30 * 60
+
+
+def test_a_cut_of_a_long_text_changes_no_subword(monkeypatch):
+    rng = random.Random(2)
+    text = "".join(rng.choices("abcdeé  ,", k=5000)) + "x" * 700 + " end of it"
+    whole = langid.count_subwords(text)
+    monkeypatch.setattr(langid, "SLICE", 100)
+    cut = langid.count_subwords(text)
+    assert whole[0].tolist() == cut[0].tolist() and whole[1].tolist() == cut[1].tolist()
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (None, 4), (70, 80), (70, 80)], "a long, b long")
     found = {r.node: r.component for r in components(links).collect()}

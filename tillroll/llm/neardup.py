@@ -67,14 +67,15 @@ def fingerprint(text: str, words: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of each row; fp is the fingerprint as a signed long."""
+    """(doc_id, fp) of each row, the id as it is; fp is the fingerprint as a signed long."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             fps = np.array([fingerprint(t, words) for t in texts_of(batch)], np.uint64)
             yield batch_of(doc_id=batch.column("doc_id"), fp=fps.view(np.int64))
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, fp long")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, fp long")
 
 
 def near(planes: np.ndarray, queries: np.ndarray, size: int, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
