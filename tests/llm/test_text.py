@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillroll.llm import batches, bytebpe, fingerprints, langid, neardup, packing, pieces, quality, secrets, toxicity
@@ -422,6 +423,23 @@ def test_block_tables_find_all_within(spark):
     assert got == {(a, b, distance(a, b)) for a in asked for b in set(prints) if distance(a, b) <= 4}
 
 
+def test_neighbors_are_counted(spark):
+    rng = np.random.default_rng(9)
+    base = np.unpackbits(rng.integers(0, 256, 16).astype(np.uint8))
+    rows = []
+    for i in range(120):
+        bits = base.copy()
+        bits[rng.choice(128, int(rng.integers(0, 5)), replace=False)] ^= 1
+        rows.append((i if i % 7 else None, np.packbits(bits).tobytes().hex()))
+    frame = spark.createDataFrame(rows + rows[:3], "doc_id long, fingerprint string")
+    got = fingerprints.with_neighbors(frame, F.col("doc_id") % 10 == 1).collect()
+    prints = [int(r[1], 16) for r in rows + rows[:3]]
+    assert len(got) == len(prints)
+    for r in got:
+        wanted = sum((p ^ int(r.fingerprint, 16)).bit_count() <= fingerprints.RADIUS for p in prints)
+        assert r.n_within == (wanted if r.doc_id is not None and r.doc_id % 10 == 1 else None)
+
+
 def test_languages(docs, spark):
     rng = random.Random(0)
     made = {"xx": "abc abd bca cab", "yy": "ñoñ ñin oño", "zz": "шум дом мир"}

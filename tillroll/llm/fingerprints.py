@@ -21,12 +21,15 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.batches import Batches, batch_of, map_batches, texts_of
+from tillroll.session import stage
 
 BITS = 128
+# Differing bits that the search of the registered query allows.
+RADIUS = 3
 # Ranges of ids for each shuffle partition; a range is sorted in one task and takes one document of the next range.
 RANGES_PER_PARTITION = 8
 _BIT = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64) * 2 - 1
@@ -196,8 +199,9 @@ def within(queries: DataFrame, found: DataFrame, radius: int, blocks: int | None
     if not 0 <= radius < blocks <= digits:
         raise ValueError("the radius must be below the number of blocks")
     edges = [digits * i // blocks for i in range(blocks + 1)]
+    # Fronts travel as hashes: a collision only adds a candidate, and the distance decides.
     fronts = [
-        F.concat(F.lit(f"{n}:"), *(F.substring("fingerprint", edges[c] + 1, edges[c + 1] - edges[c]) for c in chosen))
+        F.xxhash64(F.lit(n), *(F.substring("fingerprint", edges[c] + 1, edges[c + 1] - edges[c]) for c in chosen))
         for n, chosen in enumerate(combinations(range(blocks), blocks - radius))
     ]
     tabled = lambda df, name: df.select("fingerprint").where("fingerprint is not null").distinct().select(F.col("fingerprint").alias(name), F.explode(F.array(*fronts)).alias("front"))
@@ -205,3 +209,15 @@ def within(queries: DataFrame, found: DataFrame, radius: int, blocks: int | None
     distance = sum((F.bit_count(part("query", i).bitwiseXOR(part("fingerprint", i))) for i in range(1, BITS // 32)), F.bit_count(part("query", 0).bitwiseXOR(part("fingerprint", 0))))
     pairs = tabled(queries, "query").join(tabled(found, "fingerprint"), "front").withColumn("distance", distance)
     return pairs.where(F.col("distance") <= radius).select("query", "fingerprint", "distance").distinct()
+
+
+def with_neighbors(rows: DataFrame, asked: Column, radius: int = RADIUS) -> DataFrame:
+    """``rows`` (fingerprint, ...) with n_within: for the rows ``asked``, how many rows have a fingerprint within the
+    radius of theirs, their own included; null for others. Equal fingerprints are searched once; a front that very many
+    of them share is a skewed key of the join with the queries, which Spark splits."""
+    kinds = stage(rows.groupBy("fingerprint").agg(F.count("*").alias("n")))
+    queries = rows.where(asked).select("fingerprint")
+    pairs = within(queries, kinds.select("fingerprint"), radius).join(kinds, "fingerprint")
+    found = pairs.groupBy(F.col("query").alias("fingerprint")).agg(F.sum("n").alias("n_within"))
+    mine = rows.where(asked).join(found, "fingerprint", "left").select(*rows.columns, "n_within")
+    return mine.unionByName(rows.where(~F.coalesce(asked, F.lit(False))).withColumn("n_within", F.lit(None).cast("long")))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.batches import Batches, batch_of, learnable, logistic, map_batches, sigmoid, texts_of
 from tillroll.llm.toxicity import labelled_sample
-from tillroll.session import stage
+from tillroll.session import lookup_join, stage
 
 # Bound of the fitted sample: labelled rows of each label, in hash order of the id.
 ROWS_PER_LABEL = 3000
@@ -131,8 +131,9 @@ def classify(docs: DataFrame, labels: DataFrame, model: QualityModel) -> DataFra
     host_rate = (F.col("hs") + strong_host * rate) / (F.col("hn") + strong_host)
     sites = paths.join(hosts, "host")
     strong_path = _strength(sites.select("n", "s", host_rate.alias("center")), "center")
-    # A site with a large part of all rows is a skewed key of this join; its side here is one row.
-    out = rows.join(sites, ["host", "path"])
+    # A site with a large part of all rows meets its one row in many tasks.
+    sites = stage(sites)
+    out = lookup_join(rows, sites, ["host", "path"], "inner", sites.count())
     others_host = (F.col("hs") - F.col("e") + strong_host * rate) / (F.col("hn") - 1 + strong_host)
     site = (F.col("s") - F.col("e") + strong_path * others_host) / (F.col("n") - 1 + strong_path)
     bounded = lambda c: F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), c))

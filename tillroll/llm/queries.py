@@ -13,7 +13,7 @@ import corpus_pipeline
 
 from tillroll.llm import bestfit, divergence, fingerprints, forest, langid, neardup, packing, pieces, quality, secrets, toxicity, urlfilter, variants
 from tillroll.llm.batches import held_out, learnable
-from tillroll.session import ship
+from tillroll.session import ship, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -169,7 +169,8 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_fingerprints")
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.compared(table(spark, sf_dir, "documents"))
+    rows = stage(fingerprints.compared(table(spark, sf_dir, "documents")))
+    return fingerprints.with_neighbors(rows, F.col("doc_id") % 100 == 0)
 
 
 _OP11_SQL = r"""
