@@ -266,10 +266,11 @@ def _tile(key: tuple, table: pa.Table) -> pa.Table:
 def tiles(docs: DataFrame) -> DataFrame:
     """Rows of the tiles (lang, stripe, first, second): one per source, with null term, and one per cell."""
     cells = stage(term_counts(docs))
-    real = cells.where("term <> ''")
-    kept = real.groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"))
-    kept = stage(kept.where(F.col("docs") >= MIN_DOCS).drop("docs"))
-    counted = real.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "total")
+    # One shuffle of the cells by term; a term has a row per source at most.
+    of_term = Window.partitionBy("lang", "term")
+    summed = cells.where("term <> ''").withColumns({"total": F.sum("n").over(of_term), "held": F.sum("docs").over(of_term)})
+    counted = stage(summed.where(F.col("held") >= MIN_DOCS).select("lang", "source", "term", "n", "total"))
+    kept = counted.select("lang", "term", "total").distinct()
     sizes = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("total").alias("lang_n"))
     groups = cells.where("term = ''").select("lang", "source")
     langs = groups.groupBy("lang").agg(F.count("*").alias("groups")).join(sizes, "lang", "left").fillna(0, ["kept", "lang_n"])
