@@ -1,10 +1,11 @@
 """Visit features and category families on a small literal table."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.operators import categories, visits
 from tillroll.operators.encode import UNSEEN, fit_dictionary, fit_vocabulary
-from tillroll.operators.features import FeatureModel, drop_constant, feature_ranges
+from tillroll.operators.features import FeatureModel, drop_constant, feature_ranges, only_features, stage_vectors
 from tillroll.sources.star import category_is_not
 
 
@@ -114,6 +115,38 @@ def test_vectors_equal_triples(basket):
         assert all(dense[k][i] == wide[k][name] for k in dense)
 
 
+def test_log_scale_follows_from_one_build(basket):
+    model = FeatureModel.fit(basket)
+    wanted = {(r.visit_number, r.idx): r.val for r in model.triples(basket, log=True).collect()}
+    built = model.logged(model.entries(basket)).select("visit_number", F.inline("entries"))
+    assert {(r.visit_number, r.idx): r.val for r in built.collect()} == pytest.approx(wanted)
+
+
+def test_features_constant_on_the_training_side_go(spark, basket):
+    """A feature that varies over all visits but not over the training ones; the rest is renumbered."""
+    model = FeatureModel.fit(basket)
+    built = model.entries(basket)
+    names = model.names()
+    train = built.where("visit_number in (2, 3)")
+    kept = model.varying(train)
+    assert names.index("Null") not in kept and names.index("Null") in model.varying(built)
+    assert names.index("N_Dep") in kept and kept == sorted(kept)
+    dense = {r.visit_number: r.features for r in model.vectors(basket).collect()}
+    few = only_features(built, kept, model.width()).select("visit_number", "entries")
+    for r in stage_vectors(few, len(kept)).collect():
+        assert r.features.size == len(kept)
+        assert [r.features[i] for i in range(len(kept))] == [dense[r.visit_number][old] for old in kept]
+
+
+def test_sketch_counts(spark, basket):
+    """Exact for few values, null one of them; near for many."""
+    assert by_key(visits.distinct_counts_approx(basket)) == by_key(visits.distinct_counts(basket))
+    many = spark.range(60_000).selectExpr("id % 2 as visit_number", "id div 3 as upc", "cast(id % 7 as string) as department", "cast(id % 5000 as int) as fineline")
+    exact, near = by_key(visits.distinct_counts(many.selectExpr("*", "1 as scan_count"))), by_key(visits.distinct_counts_approx(many))
+    for key, row in exact.items():
+        assert all(abs(near[key][c] - row[c]) <= 4 * 1.04 / 64 * row[c] for c in ("N_Fineline", "N_Upc", "N_Dep"))
+
+
 def test_columns_match_separate_families(basket):
     model = FeatureModel.fit(basket)
     wide = by_key(model.columns(basket))

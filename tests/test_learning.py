@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import SparseVector, Vectors
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tillroll.operators import models, probabilities, stacking
@@ -87,6 +88,14 @@ def test_out_of_fold_never_sees_the_row(spark):
     assert [r.p for r in matched.distinct().collect()] == [0.0]
 
 
+@pytest.mark.parametrize("name", ["logistic", "forest"])
+def test_two_classes_after_an_observation(spark, separable, name):
+    """A session that has observed something cannot be sent to tasks, and a summary of two classes holds it."""
+    spark.range(3).observe(Observation("seen"), F.count(F.lit(1)).alias("n")).collect()
+    two = separable.filter("label < 2")
+    assert_probabilities(LEARNERS[name]().fit(two, 2)(two), 2, 80)
+
+
 def test_bagging(separable):
     train, test = separable.filter("fold <> 0"), separable.filter("fold = 0")
     learner = models.logistic(80, max_iter=10)
@@ -162,11 +171,26 @@ def test_sparse_pca_equals_dense(spark):
     wanted = np.array([r.vec for r in fit_pca(dense, 3).transform(dense).orderBy("id").collect()])
     found = fit_sparse_pca(df, 3).transform(df.drop("vec")).orderBy("id").collect()
     assert np.allclose(np.abs([r.vec for r in found]), np.abs(wanted), atol=1e-8)
-    assert found[0].features == rows[0][1]
+    assert found[0].asDict().keys() == {"id", "vec"}
     spread = fit_scaler(df, "features").spread(df).first().features
     assert isinstance(spread, SparseVector) and spread.numNonzeros() == rows[0][1].numNonzeros()
 
 
+def test_subspace_iteration_finds_the_leading_axes(spark):
+    """Fewer columns than features: the subspace of the dense result, from sparse rows."""
+    rng = np.random.default_rng(6)
+    x = np.where(rng.random((400, 60)) < 0.7, 0, rng.normal(size=(400, 60)) + 3 * rng.normal(size=(400, 3)) @ rng.normal(size=(3, 60)))
+    rows = [(i, Vectors.sparse(60, {j: float(v) for j, v in enumerate(r) if v})) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, ["id", "features"])
+    found = fit_sparse_pca(df, 3)
+    scale = np.where(x.std(0) > 0, x.std(0), 1)
+    _, _, axes = np.linalg.svd((x - x.mean(0)) / scale, full_matrices=False)
+    ours = np.linalg.qr(found.axes * scale[:, None])[0]
+    assert np.linalg.svd(ours.T @ axes[:3].T, compute_uv=False).min() > 1 - 1e-6
+    got = np.array([r.vec for r in found.transform(df).orderBy("id").collect()])
+    assert np.allclose(got, (x - x.mean(0)) @ found.axes, atol=1e-9) and (np.diff(got.var(0)) < 0).all()
+
+
 def test_ensemble_profiles(spark):
     published, quick = EnsembleSpec.published(100), EnsembleSpec.quick(100)
     assert published.names == quick.names and len(set(published.names)) == 15

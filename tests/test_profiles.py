@@ -18,7 +18,7 @@ class Asked(Exception):
 def test_published_unless_replaced():
     code = (
         "from tillroll.plans import learning; from tillroll.operators.ensemble import EnsembleSpec; "
-        "assert learning.SPEC is EnsembleSpec.published"
+        "assert learning.SPEC is EnsembleSpec.published and learning.LEARNERS is learning.published_learners"
     )
     subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parent.parent, check=True)
 

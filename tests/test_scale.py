@@ -1,5 +1,6 @@
 """The ways taken beyond the small-table limit, and hot keys."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,12 +35,22 @@ def test_shuffled_ways_agree(spark, basket, no_small_tables):
     assert {r.f for r in v.keep(rows, "f").collect()} == set(range(5, 12))
 
 
+NUMBERS = {
+    "few": [5, 1, 9, 9, 2, 4, 40],
+    "one": [3],
+    "equal": [2, 2, 2, 2],
+    "far apart": [-1e300, 1e-300, 0, 5e-324, 1e300, 1e300, -2.5],
+    "many": [((i * 7919) % 1000) ** 2 / 7 for i in range(3000)],
+    "skewed": [1] * 500 + [10.0**i for i in range(60)],
+}
+
+
+@pytest.mark.parametrize("name", NUMBERS)
 @pytest.mark.parametrize("q", [0.0, 0.3, 0.6, 0.77, 1.0])
-def test_quantile_ways_agree(spark, monkeypatch, q):
-    rows = spark.createDataFrame([(float(x),) for x in (5, 1, 9, 9, 2, 4, 40)], "x double")
-    small = ranking.quantile(rows, "x", q, 7)
-    monkeypatch.setattr(ranking, "SMALL_ROWS", 0)
-    assert ranking.quantile(rows, "x", q, 7) == pytest.approx(small)
+def test_quantiles(spark, name, q):
+    numbers = [float(x) for x in NUMBERS[name]]
+    rows = spark.createDataFrame([(x,) for x in numbers] + [(None,)], "x double")
+    assert ranking.quantile(rows, "x", q, len(numbers)) == pytest.approx(float(np.quantile(numbers, q)), rel=1e-12)
 
 
 @pytest.mark.parametrize("limit", [1000, 10**9])

@@ -3,7 +3,8 @@
 Reference rows are divided into cells around sampled pivots. A query row first searches the
 cells nearest to it, which gives a distance its k nearest rows cannot exceed; it then visits
 only the other cells that the triangle inequality does not rule out. Nothing is dropped: a
-cell is skipped only when it provably holds no nearer row.
+cell is skipped only when it provably holds no nearer row. Within a block, pairs are compared on a few leading axes
+first, and those that cannot be near are not measured.
 
 Both sides of a cell are cut into blocks of at most about ``block_rows`` rows, and a task
 sees one pair of blocks, so copies or dense regions only add blocks. Each task returns at
@@ -26,6 +27,8 @@ from tillroll.session import stage
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 4096
 _SLACK = 1e-9  # relative allowance for rounding, always on the side of visiting more
+# Axes of a prefix at most, rows it is fitted on, and the share of a block's pairs beyond which it is not worth while.
+PREFIX, PREFIX_ROWS, MOST_MEASURED = 16, 2048, 0.2
 _PAIRS = 1 << 18  # candidate pairs measured exactly at a time
 
 
@@ -84,10 +87,10 @@ class Cells:
         return at, order[at, slot]
 
 
-def _sample_pivots(refs: DataFrame, n: int) -> np.ndarray:
-    """``n`` distinct reference vectors, chosen by hash so that reruns agree."""
+def _sample_rows(refs: DataFrame, n: int) -> np.ndarray:
+    """``n`` reference vectors, chosen by hash so that reruns agree."""
     rows = refs.orderBy(F.xxhash64("rid"), "rid").limit(n).select("vec").collect()
-    return np.unique(np.array([r.vec for r in rows], dtype=float), axis=0)
+    return np.array([r.vec for r in rows], dtype=float)
 
 
 def _assign(refs: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -131,30 +134,87 @@ def _routed(queries: DataFrame, cells: Cells, mode: str, k: int, bounded: bool)
     return queries.mapInArrow(route, schema)
 
 
-def _nearest_in_block(queries: pa.Table, refs: pa.Table, k: int) -> pa.Table:
+@dataclass(frozen=True)
+class Prefix:
+    """Leading axes of the rows. A row's shadow is its place on them and the length of the rest of it; no two rows are
+    nearer than their shadows, whatever the axes."""
+
+    origin: np.ndarray
+    axes: np.ndarray
+
+    @staticmethod
+    def fit(sample: np.ndarray) -> Prefix | None:
+        """From a bounded sample; None where vectors are too short to gain anything."""
+        n = min(PREFIX, sample.shape[1] // 3)
+        if n < 2 or len(sample) <= n:
+            return None
+        origin = sample.mean(0)
+        return Prefix(origin, np.linalg.svd(sample - origin, full_matrices=False)[2][:n].T)
+
+    def shadows(self, vec: np.ndarray) -> np.ndarray:
+        centred = vec - self.origin
+        on = centred @ self.axes
+        rest = np.sqrt(np.maximum((centred**2).sum(1) - (on**2).sum(1), 0))
+        return np.column_stack([on, rest])
+
+
+def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a**2).sum(1)[:, None] + (b**2).sum(1)[None, :] - 2.0 * a @ b.T
+
+
+def _within_reach(block: np.ndarray, r: np.ndarray, bound: np.ndarray, keep: int, shadows: tuple | None) -> tuple | None:
+    """(query, row) pairs that can be among the ``keep`` nearest, by shadows; None if they rule too little out.
+
+    The rows with the nearest shadows are measured; what lies beyond the worst of them in shadow is abandoned.
+    """
+    if shadows is None or keep >= len(r):
+        return None
+    low = _squared(*shadows)
+    first = np.argpartition(low, keep - 1, axis=1)[:, :keep]
+    owner = np.repeat(np.arange(len(block)), keep)
+    worst = np.concatenate(
+        [_exact(block[owner[i : i + _PAIRS]], r[first.ravel()[i : i + _PAIRS]]) for i in range(0, len(owner), _PAIRS)]
+    ).reshape(len(block), keep).max(1)
+    reach = np.minimum(worst, bound) ** 2
+    scale = (block**2).sum(1) + (r**2).sum(1).max()
+    near = low <= (reach + _SLACK * scale)[:, None]
+    if np.count_nonzero(near) > MOST_MEASURED * near.size:
+        return None
+    return np.nonzero(near)
+
+
+def _by_products(block: np.ndarray, r: np.ndarray, bound: np.ndarray, keep: int) -> tuple:
+    """(query, row) pairs that can be among the ``keep`` nearest, by the products of all."""
+    squared = _squared(block, r)
+    cut = np.partition(squared, keep - 1, axis=1)[:, keep - 1]
+    cut = np.minimum(cut, bound**2) + _SLACK * ((block**2).sum(1) + (r**2).sum(1).max())
+    return np.nonzero(squared <= cut[:, None])  # at least k per query, or all within its bound
+
+
+def _nearest_in_block(queries: pa.Table, refs: pa.Table, k: int, prefix: Prefix | None = None) -> pa.Table:
     """The k nearest rows (by distance, then id) of each query within one pair of blocks, none beyond its bound."""
     names = ["qid", "target", "rid", "label", "dist"]
     if queries.num_rows == 0 or refs.num_rows == 0:
         empty = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64()]
         return pa.Table.from_arrays([pa.array([], t) for t in empty], names=names)
     q, r = _matrix(queries.column("vec")), _matrix(refs.column("vec"))
-    rid, bound = refs.column("rid").to_numpy(), queries.column("bound").to_numpy(zero_copy_only=False)
-    r2 = (r**2).sum(1)
+    rid, bounds = refs.column("rid").to_numpy(), queries.column("bound").to_numpy(zero_copy_only=False)
     keep = min(k, len(r))
+    shadows = None if prefix is None else (prefix.shadows(q), prefix.shadows(r))
     at_query, at_ref, dists = [], [], []
     step = max(1, (1 << 20) // len(r))
     for start in range(0, len(q), step):
-        block = q[start : start + step]
-        q2 = (block**2).sum(1)
-        squared = q2[:, None] + r2[None, :] - 2.0 * block @ r.T
-        cut = np.partition(squared, keep - 1, axis=1)[:, keep - 1]
-        cut = np.minimum(cut, bound[start : start + step] ** 2) + _SLACK * (q2 + r2.max())
-        rows, cols = np.nonzero(squared <= cut[:, None])  # at least k per query, or all within its bound
+        block, bound = q[start : start + step], bounds[start : start + step]
+        pairs = _within_reach(block, r, bound, keep, shadows and (shadows[0][start : start + step], shadows[1]))
+        if pairs is None:
+            shadows = None  # nor will they help the rest of this block
+            pairs = _by_products(block, r, bound, keep)
+        rows, cols = pairs
         exact = np.concatenate(
             [_exact(block[rows[i : i + _PAIRS]], r[cols[i : i + _PAIRS]]) for i in range(0, len(rows), _PAIRS)]
             or [np.zeros(0)]
         )
-        near = exact <= bound[start : start + step][rows]
+        near = exact <= bound[rows]
         rows, cols, exact = rows[near], cols[near], exact[near]
         order = np.lexsort((rid[cols], exact, rows))
         rows, cols, exact = rows[order], cols[order], exact[order]
@@ -176,7 +236,7 @@ def _nearest_in_block(queries: pa.Table, refs: pa.Table, k: int) -> pa.Table:
     )
 
 
-def _search(routed: DataFrame, assigned: DataFrame, cells: Cells, k: int, block_rows: int) -> DataFrame:
+def _search(routed: DataFrame, assigned: DataFrame, cells: Cells, k: int, block_rows: int, prefix: Prefix | None) -> DataFrame:
     """Search every routed (query, cell) pair, block against block."""
     spark, routed = assigned.sparkSession, stage(routed)  # read twice: for the load and the search
     load = {r.cell: r.n for r in routed.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # one row per cell
@@ -212,7 +272,7 @@ def _search(routed: DataFrame, assigned: DataFrame, cells: Cells, k: int, block_
         q_side.groupBy(*block)
         .cogroup(r_side.groupBy(*block))
         .applyInArrow(
-            lambda queries, refs: _nearest_in_block(queries, refs, k),
+            lambda queries, refs: _nearest_in_block(queries, refs, k, prefix),
             "qid bigint, target int, rid bigint, label int, dist double",
         )
     )
@@ -242,7 +302,9 @@ def nearest(
         F.col(key).cast("bigint").alias("rid"), part_of.alias("part"), label_of.alias("label"), F.col(vec).alias("vec")
     )
     n, parts = r.agg(F.count("*"), F.count_distinct("part")).first()
-    pivots = _sample_pivots(r, max(1, min(MAX_PIVOTS, n // (block_rows * max(parts, 1)))))
+    n_pivots = max(1, min(MAX_PIVOTS, n // (block_rows * max(parts, 1))))
+    sample = _sample_rows(r, max(n_pivots, PREFIX_ROWS))
+    pivots, prefix = np.unique(sample[:n_pivots], axis=0), Prefix.fit(sample[:PREFIX_ROWS]) if n else None
     assigned = _assign(r, pivots)
     stats = (
         assigned.groupBy("part", "pivot")
@@ -267,15 +329,97 @@ def nearest(
         q = q.withColumn("target", F.explode(F.array(*[F.lit(t) for t in targets])))
     best = Window.partitionBy("qid", "target").orderBy("dist", "rid")
     if len(pivots) == 1:  # one cell per part: nothing to rule out, visit all at once
-        found = _search(_routed(q, cells, mode, n, bounded=False), assigned, cells, k, block_rows)
+        found = _search(_routed(q, cells, mode, n, bounded=False), assigned, cells, k, block_rows, prefix)
     else:
-        found = _search(_routed(q, cells, mode, k, bounded=False), assigned, cells, k, block_rows)
+        found = _search(_routed(q, cells, mode, k, bounded=False), assigned, cells, k, block_rows, prefix)
         found = stage(found)
         ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
         kth = F.when(F.count("*") >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("bound")
         bounds = ranked.groupBy("qid", "target").agg(kth)
         again = _routed(q.join(bounds, ["qid", "target"]), cells, mode, k, bounded=True)
-        found = found.unionByName(_search(again, assigned, cells, k, block_rows))
+        found = found.unionByName(_search(again, assigned, cells, k, block_rows, prefix))
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+# Fitting of the approximate search: queries measured exactly, and cells for so many rows.
+PROBED_QUERIES = 256
+
+
+def probes_for(cells: Cells, vec: np.ndarray, neighbors: list[np.ndarray], recall: float) -> int:
+    """The least number of nearest cells in which the sample's queries find ``recall`` of their true neighbours.
+    ``neighbors``: for each query the cells that its true neighbours lie in."""
+    order = np.argsort(_pivot_distances(vec, cells.pivots)[:, cells.pivot], axis=1, kind="stable")
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.arange(order.shape[1])[None, :].repeat(len(order), 0), 1)
+    needed = np.sort(np.concatenate([place[i, n] for i, n in enumerate(neighbors)]))
+    return int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)]) + 1
+
+
+def _probed(queries: DataFrame, cells: Cells, probes: int) -> DataFrame:
+    """Each query once for each of its ``probes`` nearest cells."""
+    schema = "qid bigint, target int, cell int, vec array<double>, bound double"
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, (1 << 22) // len(cells.part))
+            for start in range(0, batch.num_rows, step):
+                some = batch.slice(start, step)
+                to_pivot = _pivot_distances(_matrix(some.column("vec")), cells.pivots)[:, cells.pivot]
+                cell = np.argsort(to_pivot, axis=1, kind="stable")[:, :probes]
+                take = pa.array(np.repeat(np.arange(some.num_rows), cell.shape[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("qid").take(take), some.column("target").take(take), pa.array(cell.ravel(), pa.int32()),
+                     some.column("vec").take(take), pa.array(np.full(len(take), np.inf))],
+                    names=["qid", "target", "cell", "vec", "bound"],
+                )
+
+    return queries.mapInArrow(route, schema)
+
+
+def nearest_approx(
+    queries: DataFrame,
+    refs: DataFrame,
+    k: int,
+    key: str,
+    *,
+    vec: str = "vec",
+    recall: float = 0.95,
+    cell_rows: int = BLOCK_ROWS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """As ``nearest`` over all references, but a query visits only its nearest cells, and may miss neighbours elsewhere.
+
+    How many cells it takes is fitted: ``PROBED_QUERIES`` queries, chosen by hash, are searched exactly, and the least
+    number of cells is taken in which they find ``recall`` of their neighbours. Distances are exact. Queries that find
+    fewer than ``k`` rows in their cells are searched exactly.
+    """
+    r = refs.select(F.col(key).cast("bigint").alias("rid"), F.lit(0).alias("part"), F.lit(0).alias("label"), F.col(vec).alias("vec"))
+    n = r.count()
+    sample = _sample_rows(r, max(max(1, min(MAX_PIVOTS, n // cell_rows)), PREFIX_ROWS))
+    if n <= k or not len(sample):
+        return nearest(queries, refs, k, key, vec=vec, block_rows=block_rows)
+    pivots = np.unique(sample[: max(1, min(MAX_PIVOTS, n // cell_rows))], axis=0)
+    assigned = _assign(r, pivots)
+    stats = assigned.groupBy("pivot").agg(F.count("*").alias("rows"), F.max("reach").alias("radius")).orderBy("pivot").collect()
+    columns = {c: np.array([s[c] for s in stats]) for c in ("pivot", "rows", "radius")}
+    cells = Cells(pivots, np.zeros(len(stats), np.int32), columns["pivot"], columns["rows"], columns["radius"])
+    q = stage(queries.select(F.col(key).cast("bigint").alias("qid"), F.lit(0).alias("target"), F.col(vec).alias("vec")))
+    some = q.orderBy(F.xxhash64("qid"), "qid").limit(PROBED_QUERIES).select(F.col("qid").alias(key), F.col("vec").alias(vec))
+    true = nearest(some, refs, k, key, vec=vec, block_rows=block_rows).join(assigned.select("rid", "pivot"), "rid")
+    at = {p: i for i, p in enumerate(columns["pivot"].tolist())}
+    found: dict[int, list[int]] = {}
+    for row in true.select("qid", "pivot").collect():  # k a query of the sample
+        found.setdefault(row.qid, []).append(at[row.pivot])
+    if not found:
+        return nearest(queries, refs, k, key, vec=vec, block_rows=block_rows)
+    vectors = {row[key]: row[vec] for row in some.collect()}
+    probes = probes_for(cells, np.array([vectors[i] for i in found]), [np.array(c) for c in found.values()], recall)
+    near = stage(_search(_probed(q, cells, probes), assigned, cells, k, block_rows, Prefix.fit(sample[:PREFIX_ROWS])))
+    enough = near.groupBy("qid").agg(F.count("*").alias("n")).where(F.col("n") >= k).select("qid")
+    rest = q.join(enough, "qid", "left_anti").select(F.col("qid").alias(key), F.col("vec").alias(vec))
+    exact = nearest(rest, refs, k, key, vec=vec, block_rows=block_rows).drop("rank")
+    best = Window.partitionBy("qid", "target").orderBy("dist", "rid")
+    found = near.join(enough, "qid", "left_semi").unionByName(exact)
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
@@ -297,10 +441,66 @@ def vote_shares(neighbors: DataFrame, ks: list[int]) -> DataFrame:
 DISTANCE_SUMS = (1, 3, 5)
 
 
+# Blocks of the reference side are this many times larger, as all that a pair of blocks returns is a few rows per query.
+CLASS_BLOCKS = 8
+
+
+def _nearest_by_class(queries: pa.Table, refs: pa.Table, k: int, prefix: Prefix | None) -> pa.Table:
+    """The k nearest rows of each class, for each query, within one pair of blocks; ``target`` is the class."""
+    refs = refs.select([c for c in refs.column_names if c.startswith("of_")])
+    refs = refs.rename_columns([c.removeprefix("of_") for c in refs.column_names])
+    if refs.num_rows == 0:
+        return _nearest_in_block(queries, refs, k)
+    label = refs.column("label").to_numpy()
+    order = np.argsort(label, kind="stable")
+    refs, label = refs.take(pa.array(order)), label[order]
+    cuts = np.flatnonzero(np.concatenate([[True], label[1:] != label[:-1], [True]]))
+    parts = []
+    for a, b in zip(cuts, cuts[1:]):
+        part = _nearest_in_block(queries, refs.slice(a, b - a), k, prefix)
+        parts.append(part.set_column(1, "target", part.column("label")))
+    return pa.concat_tables(parts)
+
+
+def _class_blocks(df: DataFrame, key: str, klass: str, vec: str, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides dealt over pairs of blocks: a row is sent once per block of the other side, whatever the classes."""
+    rows = df.select(F.col(key).cast("bigint").alias("rid"), F.col(klass).cast("int").alias("label"), F.col(vec).alias("vec"))
+    n = rows.count()
+    qblocks, rblocks = (max(1, -(-n // size)) for size in (block_rows, CLASS_BLOCKS * block_rows))
+    deal = lambda column, blocks: F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    q_side = rows.select(
+        deal("rid", qblocks).alias("qblock"), every(rblocks).alias("rblock"), F.col("rid").alias("qid"),
+        F.lit(0).alias("target"), "vec", F.lit(float("inf")).alias("bound"),
+    )
+    # Both sides are one table: the cogroup tells their columns apart by names of their own.
+    r_side = rows.select(
+        every(qblocks).alias("qblock"), deal("rid", rblocks).alias("rblock"),
+        F.col("rid").alias("of_rid"), F.col("label").alias("of_label"), F.col("vec").alias("of_vec"),
+    )
+    return q_side, r_side
+
+
 def class_distances(df: DataFrame, key: str, klass: str, vec: str = "vec", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(qid, klass, d1, d3, d5, members): distance to the nearest member of each class and
     sums over the 3 and 5 nearest, the row itself included. ``members`` says how many of the
-    5 a small class could give; a class without members has no row."""
-    found = nearest(df, df, max(DISTANCE_SUMS), key, vec=vec, mode="each", part=klass, block_rows=block_rows)
+    5 a small class could give; a class without members has no row.
+
+    One pass over pairs of blocks serves all classes."""
+    k = max(DISTANCE_SUMS)
+    q_side, r_side = _class_blocks(df, key, klass, vec, block_rows)
+    sample = _sample_rows(df.select(F.col(key).alias("rid"), F.col(vec).alias("vec")), PREFIX_ROWS)
+    prefix = Prefix.fit(sample) if len(sample) else None
+    block = ["qblock", "rblock"]
+    found = (
+        q_side.groupBy(*block)
+        .cogroup(r_side.groupBy(*block))
+        .applyInArrow(
+            lambda queries, refs: _nearest_by_class(queries, refs, k, prefix),
+            "qid bigint, target int, rid bigint, label int, dist double",
+        )
+    )
+    best = Window.partitionBy("qid", "target").orderBy("dist", "rid")
+    found = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     sums = [F.sum(F.when(F.col("rank") <= n, F.col("dist"))).alias(f"d{n}") for n in DISTANCE_SUMS]
     return found.groupBy("qid", F.col("target").alias("klass")).agg(*sums, F.count("*").cast("int").alias("members"))

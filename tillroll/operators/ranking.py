@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 from tillroll.session import SMALL_ROWS, checkpoint
 
+# Ranges that a pass over values tells apart.
+RANGES = 1024
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -39,15 +41,36 @@ def with_code(df: DataFrame, column: str, rows: int, name: str) -> DataFrame:
 
 
 def quantile(df: DataFrame, column: str, q: float, rows: int) -> float:
-    """Exact quantile with linear interpolation over ``rows`` counted non-null values."""
-    if rows <= SMALL_ROWS:
-        return df.agg(F.percentile(column, F.lit(q)).alias("v")).first().v
+    """Exact quantile with linear interpolation over ``rows`` counted non-null values.
+
+    Each pass counts the values in ``RANGES`` equal ranges and keeps the range that holds the wanted ranks, so a few
+    passes find it at any size; a pass returns at most one row per range.
+    """
     at = q * (rows - 1)
     low = int(at)
-    picked = (
-        with_position(df.select(column), column)
-        .filter(F.col("position").isin(low, min(low + 1, rows - 1)))
-        .orderBy("position")
-        .collect()
-    )
-    return float(picked[0][0] + (picked[-1][0] - picked[0][0]) * (at - low))
+    high = min(low + 1, rows - 1)
+    value = F.col(column).cast("double")
+    # NaN is above all numbers, as in a sort.
+    number = F.when(F.isnan(value), F.lit(float("inf"))).otherwise(value)
+    values = df.select(number.alias("v")).where("v is not null")
+    start, end = values.agg(F.min("v"), F.max("v")).first()
+    before = 0  # values below the range
+    while True:
+        if start == end:
+            return float(start)
+        width = end / RANGES - start / RANGES
+        if 0 < width < float("inf"):
+            place = F.least(F.floor(F.col("v") / F.lit(width) - F.lit(start / width)), F.lit(RANGES - 1))
+        else:  # no finer ranges: the least value and the others
+            place = (F.col("v") > F.lit(start)).cast("long")
+        inside = values.where(F.col("v").between(start, end)).groupBy(place.alias("r"))
+        found = sorted(inside.agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("most")).collect())
+        for i, r in enumerate(found):
+            if low < before + r.n:
+                break
+            before += r.n
+        if high >= before + r.n:  # the two ranks lie on both sides of a range's end
+            return float(r.most + (found[i + 1].least - r.most) * (at - low))
+        if r.least == r.most:
+            return float(r.least)
+        start, end = r.least, r.most

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.scalar import fineline_or_sentinel, units, upc_or_sentinel
 from tillroll.operators import categories, visits
 from tillroll.operators.encode import Dictionary, Vocabulary, fit_dictionary, fit_vocabulary
-from tillroll.plans.registry import query
+from tillroll.plans.registry import SQL, query
 from tillroll.plans.sql import LEFT_OUT, TRAIN_BEFORE, with_baskets, with_fitted
 from tillroll.sources.star import basket_lines, category_is_not, visit_attributes
 
@@ -67,6 +67,12 @@ def visit_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits.distinct_counts(basket_lines(spark, sf_dir, "department", "fineline"))
 
 
+@query("visit_distinct_counts_approx", SQL["visit_distinct_counts"])
+def visit_distinct_counts_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From sketches; visits have few distinct values, for which sketches are exact."""
+    return visits.distinct_counts_approx(basket_lines(spark, sf_dir, "department", "fineline"))
+
+
 @query(
     "visit_ratios",
     with_baskets("""

@@ -20,6 +20,7 @@ from tillroll.operators import models as m
 from tillroll.operators import stacking
 from tillroll.operators.encode import fit_dictionary
 from tillroll.operators.ensemble import EnsembleSpec
+from tillroll.operators.features import only_features, stage_vectors
 from tillroll.operators.folds import stratified_folds
 from tillroll.operators.neighbors import class_distances
 from tillroll.operators.probabilities import argmax_class, blend, log_loss, to_long
@@ -36,6 +37,23 @@ from tillroll.sources.submission import submission_frame
 SPEC: Callable[[int], EnsembleSpec] = EnsembleSpec.published
 
 
+def published_learners(n_rows: int) -> dict:
+    """The published models by name, for the queries on single ones."""
+    return {
+        "logistic": m.logistic(n_rows),
+        "forest": m.forest(),
+        "net": m.net_learners(n_rows)[0],
+        "boosted": m.Boosted(),
+        "extra_trees": m.ExtraTrees(),
+        "adaboost": m.RealAdaBoost(),
+        "final_net": m.final_learners()[1],
+    }
+
+
+# Training rows -> the models of the queries on single ones; tests put short runs in their place.
+LEARNERS: Callable[[int], dict] = published_learners
+
+
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = split_vectors(spark, sf_dir).withColumn("features", array_to_vector(F.col("vec")))
     train = rows.filter(F.col("side") == "train").select("vec_id", "label", "fold", "vec", "features")
@@ -47,7 +65,7 @@ AT_ONCE = 8  # independent fits that overlap
 
 def _two_learners(n_rows: int) -> list:
     """Two of the published models, one that wants scaled inputs and one that does not."""
-    return [m.logistic(n_rows), m.forest()]
+    return [LEARNERS(n_rows)[name] for name in ("logistic", "forest")]
 
 
 def _shape(probs: str = "probs") -> list:
@@ -113,7 +131,7 @@ def bootstrap_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("bagged_probs", f"with {_SPLIT} select vec_id, {_VALID} from test")
 def bagged_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _sides(spark, sf_dir)
-    net = m.final_learners()[1]
+    net = LEARNERS(train.count())["final_net"]
     return stacking.bagged_scores(train, test, net, N_CLASSES, "vec_id").select("vec_id", *_shape())
 
 
@@ -132,11 +150,11 @@ _LEARNT = (
 )
 
 
-def _one_model(spark: SparkSession, sf_dir: str, learner_of: Callable) -> DataFrame:
+def _one_model(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Fit on the train side and score every vector. ``learnt``: on the test side the log loss is below that of the
     train side's class shares."""
     train, test = (_told(side) for side in _sides(spark, sf_dir))
-    score = learner_of(train.count()).fit(train, TOLD_CLASSES)
+    score = LEARNERS(train.count())[name].fit(train, TOLD_CLASSES)
     columns = ["vec_id", "label", "features"]
     scored = stage(to_long(score(train.select(columns).unionByName(test.select(columns)))))
     truth = test.select("vec_id", "label")
@@ -148,32 +166,32 @@ def _one_model(spark: SparkSession, sf_dir: str, learner_of: Callable) -> DataFr
 
 @query("model_lr", _LEARNT)
 def model_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_model(spark, sf_dir, m.logistic)
+    return _one_model(spark, sf_dir, "logistic")
 
 
 @query("model_rf", _LEARNT)
 def model_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_model(spark, sf_dir, lambda n: m.forest())
+    return _one_model(spark, sf_dir, "forest")
 
 
 @query("model_mlp", _LEARNT)
 def model_mlp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_model(spark, sf_dir, lambda n: m.net_learners(n)[0])
+    return _one_model(spark, sf_dir, "net")
 
 
 @query("model_gbt", _LEARNT)
 def model_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_model(spark, sf_dir, lambda n: m.Boosted())
+    return _one_model(spark, sf_dir, "boosted")
 
 
 @query("model_extra_trees", _LEARNT)
 def model_extra_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_model(spark, sf_dir, lambda n: m.ExtraTrees())
+    return _one_model(spark, sf_dir, "extra_trees")
 
 
 @query("model_adaboost", _LEARNT)
 def model_adaboost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_model(spark, sf_dir, lambda n: m.RealAdaBoost())
+    return _one_model(spark, sf_dir, "adaboost")
 
 
 # Second level on vectors.
@@ -277,15 +295,21 @@ def visit_submission(spark: SparkSession, sf_dir: str, spec_of: Callable[[int],
     is_train = F.col("visit_day") < F.lit(TRAIN_BEFORE)
     key, k = "visit_number", labels.size
 
-    raw = fitted.vectors(lines, visits).join(coded, key)
-    logged = fitted.vectors(lines, visits, log=True).join(coded, key)
+    # One build; the log scale follows from it. Features constant on the training side are left out of both.
+    built = stage(fitted.entries(lines, visits))
+    kept = fitted.varying(built.join(coded.filter(is_train), key, "left_semi"))
+    width, log_width = fitted.width(), fitted.width(log=True)
+    kept_log = kept + list(range(width, log_width))
+    raw = stage_vectors(only_features(built, kept, width).select(key, "entries"), len(kept)).join(coded, key)
+    logged = only_features(fitted.logged(built), kept_log, log_width).select(key, "entries")
+    logged = stage_vectors(logged, len(kept_log)).join(coded, key)
     folds = stage(stratified_folds(raw.filter(is_train), key, "label", N_FOLDS).select(key, "fold"))
     raw = stage(raw.join(folds, key, "left"))
     logged = stage(logged.join(folds, key, "left"))
     spec = (spec_of or SPEC)(raw.filter(is_train).count())
 
     # Vote models and distances in the space of principal components of the log features, which stay sparse.
-    pca = fit_sparse_pca(logged.filter(is_train), min(spec.components, fitted.width(log=True)))
+    pca = fit_sparse_pca(logged.filter(is_train), min(spec.components, len(kept_log)))
     space = stage(pca.transform(logged).select(key, "label", "visit_day", "fold", "vec"))
     sides = {"train": space.filter(is_train), "test": space.filter(~is_train)}
     knn_train, knn_test = stacking.neighbor_scores(sides["train"], sides["test"], list(spec.ks), k, key)

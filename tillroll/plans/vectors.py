@@ -12,7 +12,7 @@ from tillroll.functions.scalar import euclidean
 from tillroll.operators import ensemble, probabilities
 from tillroll.operators.folds import stratified_folds
 from tillroll.operators.neighbors import class_distances as distances_by_class
-from tillroll.operators.neighbors import nearest, vote_shares
+from tillroll.operators.neighbors import nearest, nearest_approx, vote_shares
 from tillroll.operators.scaling import fit_pca, fit_scaler
 from tillroll.plans.registry import query
 from tillroll.session import stage
@@ -154,6 +154,24 @@ def knn_topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(rows, rows, 10, "vec_id", block_rows=64).select("qid", "rid", "rank", F.round("dist", 4).alias("dist"))
 
 
+@query(
+    "knn_approx_recall",
+    "select count(*) * least(10, count(*)) as rows_found, true as recall_reached, true as exact_distances from embeddings",
+)
+def knn_approx_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The approximate search of all vectors in cells of 32 rows: at least 0.9 of the 10 nearest, with exact distances."""
+    rows = vectors(spark, sf_dir)
+    near = stage(nearest_approx(rows, rows, 10, "vec_id", cell_rows=32, block_rows=512))
+    exact = nearest(rows, rows, 10, "vec_id").select("qid", "rid", F.col("dist").alias("true_dist"))
+    both = near.join(exact, ["qid", "rid"], "left")
+    off = F.coalesce(F.max(F.abs(F.col("dist") - F.col("true_dist"))), F.lit(0.0))
+    return both.agg(
+        F.count("*").alias("rows_found"),
+        (F.count("true_dist") >= 0.9 * F.count("*")).alias("recall_reached"),
+        (off < 1e-9).alias("exact_distances"),
+    )
+
+
 @query("vector_distance", _TOP + "select qid, rid, round(dist, 4) as dist from r where rank <= 3")
 def vector_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances of the 3 nearest pairs, measured again as a column expression."""
