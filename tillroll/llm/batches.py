@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillroll.session import stage
+
 # Rows and bytes of one Arrow batch; one row may be larger than the bytes.
 ROWS = 1024
 BYTES = 16 << 20
@@ -63,9 +65,10 @@ def sampled(rows: DataFrame, label: str, bound: int) -> DataFrame:
     more than ``bound`` before they are ranked, so no task ranks more; the numbers are one row per label.
     """
     keyed = rows.withColumn("sample_key", F.xxhash64("doc_id", "text"))
-    counts = keyed.groupBy(label).agg(F.approx_count_distinct("sample_key", 0.01).alias("rows_of_label"))
+    keys = stage(keyed.select(label, "sample_key"))  # texts are read once for this, and once for the sample itself
+    counts = keys.groupBy(label).agg(F.approx_count_distinct("sample_key", 0.01).alias("rows_of_label"))
     place = F.col("sample_key").cast("double") / F.lit(2.0**64) + 0.5
-    few = keyed.select(label, "sample_key").join(F.broadcast(counts), label)
+    few = keys.join(F.broadcast(counts), label)
     few = few.where(place * F.col("rows_of_label") <= 1.25 * bound + 200).select(label, "sample_key").distinct()
     order = Window.partitionBy(label).orderBy("sample_key")
     few = few.withColumn("n", F.row_number().over(order)).where(F.col("n") <= bound)

@@ -195,7 +195,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int)
     known = labels.where(learnable() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
     # No more labels than these are needed, as each stands for a row at least.
     known = sampled(known.withColumn("text", F.lit("")), "y", 2 * bound).select("doc_id", "y")
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    rows = stage(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id"))
     return stage(sampled(rows, "y", bound).select("doc_id", "text", "y", (F.col("n") % 2).alias("fold")))
 
 
