@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll import session
-from tillroll.operators import encode, ranking, visits
+from tillroll.operators import categories, encode, ranking, visits
 from tillroll.operators.features import FeatureModel
 from tillroll.operators.folds import bootstrap_draws, stratified_folds
 
@@ -103,3 +103,26 @@ def test_draws(spark):
     per_round = one.groupBy("round").agg(F.sum("draws").alias("n"), F.count("*").alias("distinct")).collect()
     assert [r.n for r in per_round] == [200] * 4
     assert all(100 < r.distinct < 150 for r in per_round)
+
+
+def test_tasks_grow_with_the_lines(spark, basket, monkeypatch):
+    """No task takes more than so many lines, whatever the session's number of tasks; the rows stay the same."""
+    model = FeatureModel.fit(basket)
+    d = model.departments
+
+    def built():
+        tasks = session.tasks_for(spark, basket.count())
+        return {
+            "profiles": model.profiles(basket).drop("depts", "fines"),
+            "entries": model.entries(basket),
+            "spread": categories.spread(categories.category_measure(basket, "D", tasks=tasks), d, "D", tasks=tasks),
+            "repeats": categories.spread(categories.repeated_lines(basket, tasks=tasks), d, "D3", tasks=tasks),
+            "finelines": categories.fineline_columns(basket, model.finelines, tasks),
+        }
+
+    rows = lambda df: sorted(str(r) for r in df.collect())
+    few = {name: rows(df) for name, df in built().items()}
+    monkeypatch.setattr(session, "LINES_PER_TASK", 1)
+    for name, df in built().items():
+        assert rows(df) == few[name], name
+        assert df.rdd.getNumPartitions() == basket.count() > 4, name

@@ -15,6 +15,8 @@ from pyspark.sql.window import Window
 from tillroll.functions.scalar import fineline_or_sentinel, guarded_ratio, units
 from tillroll.operators.encode import Dictionary, Vocabulary, fit_vocabulary
 from tillroll.operators.visits import KEY
+from tillroll.session import dealt
+
 
 def _scans() -> Column:
     return F.col("scan_count")
@@ -30,15 +32,17 @@ MEASURES: dict[str, Callable[[], Column]] = {
 }
 
 
-def category_measure(lines: DataFrame, measure: str, column: str = "department") -> DataFrame:
-    """(visit, category, value) for one of ``MEASURES``, zeros included."""
-    return lines.groupBy(KEY, column).agg(MEASURES[measure]().alias("value"))
+def category_measure(lines: DataFrame, measure: str, column: str = "department", tasks: int = 0) -> DataFrame:
+    """(visit, category, value) for one of ``MEASURES``, zeros included; over ``tasks``, if the session's own are fewer."""
+    return dealt(lines, tasks, KEY, column).groupBy(KEY, column).agg(MEASURES[measure]().alias("value"))
 
 
-def repeated_lines(lines: DataFrame, column: str = "department") -> DataFrame:
+def repeated_lines(lines: DataFrame, column: str = "department", tasks: int = 0) -> DataFrame:
     """(visit, category, value): lines whose fineline occurs more than once in the category."""
-    cells = lines.groupBy(KEY, column, fineline_or_sentinel().alias("fineline")).agg(F.count("*").alias("n"))
+    named = lines.select(KEY, column, fineline_or_sentinel().alias("fineline"))
+    cells = dealt(named, tasks, KEY, column, "fineline").groupBy(KEY, column, "fineline").agg(F.count("*").alias("n"))
     repeats = F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0))
+    cells = dealt(cells, tasks, KEY)
     return cells.groupBy(KEY, column).agg(repeats.alias("value"))
 
 
@@ -57,15 +61,20 @@ def category_presence(lines: DataFrame, column: str = "department") -> DataFrame
 
 
 def spread(
-    cells: DataFrame, dictionary: Dictionary, prefix: str, column: str = "department", value: str = "value"
+    cells: DataFrame, dictionary: Dictionary, prefix: str, column: str = "department", value: str = "value", tasks: int = 0
 ) -> DataFrame:
     """One row per visit, one column per category code, 0 where the visit lacks it.
 
     Visits with only unseen categories stay, with zeros.
     """
     coded = dictionary.encode(cells, column, "code")
-    wide = coded.groupBy(KEY).pivot("code", list(range(dictionary.size))).agg(F.sum(value))
-    return wide.select(KEY, *[F.coalesce(F.col(str(i)), F.lit(0)).alias(f"{prefix}_{i}") for i in range(dictionary.size)])
+    return by_code(coded, "code", value, dictionary.size, prefix, tasks)
+
+
+def by_code(cells: DataFrame, code: str, value: str, n: int, prefix: str, tasks: int = 0) -> DataFrame:
+    """One row per visit with the sums of ``value`` by codes 0 to n - 1, in one grouping; 0 where the visit lacks a code."""
+    sums = [F.coalesce(F.sum(F.when(F.col(code) == i, F.col(value))), F.lit(0)).alias(f"{prefix}_{i}") for i in range(n)]
+    return dealt(cells.select(KEY, code, value), tasks, KEY).groupBy(KEY).agg(*sums)
 
 
 def pair_columns(dummies: DataFrame, frequent: list[int], prefix: str = "D6") -> DataFrame:
@@ -103,13 +112,11 @@ def fineline_units(lines: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return indexed.filter(F.col("idx") >= 0).select(KEY, "idx", "value")
 
 
-def fineline_columns(lines: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+def fineline_columns(lines: DataFrame, vocabulary: Vocabulary, tasks: int = 0) -> DataFrame:
     """``fineline_units`` as columns ``F_<idx>``, every visit kept."""
-    cells = lines.groupBy(KEY, fineline_or_sentinel().alias("fineline")).agg(F.sum(units()).alias("value"))
-    wide = vocabulary.index(cells, "fineline", "idx").groupBy(KEY).pivot("idx", list(range(vocabulary.size)))
-    return wide.agg(F.sum("value")).select(
-        KEY, *[F.coalesce(F.col(str(i)), F.lit(0)).alias(f"F_{i}") for i in range(vocabulary.size)]
-    )
+    named = lines.select(KEY, fineline_or_sentinel().alias("fineline"), units().alias("u"))
+    cells = dealt(named, tasks, KEY, "fineline").groupBy(KEY, "fineline").agg(F.sum("u").alias("value"))
+    return by_code(vocabulary.index(cells, "fineline", "idx"), "idx", "value", vocabulary.size, "F", tasks)
 
 
 def department_vocabulary_codes(lines: DataFrame, dictionary: Dictionary, q: float) -> Vocabulary:
