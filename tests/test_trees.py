@@ -196,6 +196,19 @@ def test_nets_together_equal_nets_alone(rows):
     assert not np.allclose(together[:, 0], together[:, 1], atol=1e-3)
 
 
+def test_many_nets_take_their_steps_in_tasks(spark, rows, monkeypatch):
+    """With as many fits as cores the number of jobs does not grow with the steps, and the nets are those of a job a step."""
+    names = [f"_w{i}" for i in range(spark.sparkContext.defaultParallelism + 1)]
+    df = rows[0].withColumns({w: (F.col("id") * 7 % (i + 2)).cast("int") for i, w in enumerate(names)})
+    params = lambda steps: gradients.NetParams((8, 8), steps, "adam", 0.02, 0.2, 0.2, 3)
+    few = jobs_of(spark, "few steps", lambda: gradients.fit_nets(df, K, names, params(2)))
+    many = jobs_of(spark, "many steps", lambda: gradients.fit_nets(df, K, names, params(12)))
+    assert few == many
+    in_tasks = all_probs(gradients.fit_nets(df, K, names, params(12))(df))
+    monkeypatch.setattr(gradients, "LOCAL_BYTES", 0)
+    assert np.allclose(in_tasks, all_probs(gradients.fit_nets(df, K, names, params(12))(df)), atol=1e-5)
+
+
 @pytest.mark.parametrize("slopes", [True, False])
 def test_net_gradient_is_that_of_the_loss(slopes):
     rng = np.random.default_rng(2)
