@@ -116,6 +116,42 @@ def test_jobs_do_not_grow_with_classes_or_fits(spark, rows):
     assert few == many
 
 
+@pytest.mark.parametrize("cells, most", [(1 << 23, 1 << 15), (0, 1 << 15), (0, 0)])
+def test_forest_equals_brute_force(rows, monkeypatch, cells, most):
+    """Whole trees in tasks, nodes taken over by tasks, all levels by jobs; every fit's trees are its own draws."""
+    monkeypatch.setattr(trees, "LOCAL_CELLS", cells)
+    monkeypatch.setattr(trees, "LOCAL_ROWS", most)
+    df, x, label, key = rows
+    params = trees.ForestParams(5, 4, 0.6, 77)
+    masks = {f"_w{i}": (2 * (F.col("fold") != i).cast("int")) for i in range(2)}
+    got = all_probs(trees.fit_forest(df.withColumns(masks), K, list(masks), params)(df))
+    xb = binned(blocks.fit_bins(df, FEATURES), x)
+    hot = np.eye(K, dtype=np.int64)[label]
+    flags = lambda uid: blocks.subsets(np.array([uid]), FEATURES, params.features, params.seed + 1)[0]
+    for fit in range(2):
+        weight = 2 * (np.arange(240) % 3 != fit)
+        mean = np.zeros((240, K))
+        for t in range(params.trees):
+            draws = trees.poisson(blocks.draw(params.seed, t, key)) * weight
+            found = brute_tree(xb, hot * draws[:, None], np.flatnonzero(draws), np.arange(240), blocks.mix(t), flags, trees.entropy_gain, 1e-9, params.depth)
+            mean += [found[i] / found[i].sum() for i in range(240)]
+        assert np.allclose(got[:, fit], mean / params.trees, atol=1e-6)
+
+
+def test_forest_draws_are_poisson():
+    draws = trees.poisson(blocks.draw(3, np.arange(200_000)))
+    assert draws.mean() == pytest.approx(1, abs=0.01) and draws.var() == pytest.approx(1, abs=0.02)
+    assert (draws == 0).mean() == pytest.approx(np.exp(-1), abs=0.005)
+
+
+def test_jobs_of_a_forest_do_not_grow_with_its_fits(spark, rows):
+    """The folds of a stacked forest are fitted by the same jobs."""
+    df = rows[0].withColumns({f"_w{i}": F.lit(1) for i in range(4)})
+    few = jobs_of(spark, "one forest", lambda: models.forest(5, 4).fit_many(df, K, ["_w0"]))
+    many = jobs_of(spark, "four forests", lambda: models.forest(5, 4).fit_many(df, K, [f"_w{i}" for i in range(4)]))
+    assert few == many
+
+
 def test_extra_trees_equal_brute_force(rows):
     df, x, label, _ = rows
     params = trees.ExtraParams(5, 4, 0.5, 77)
