@@ -126,3 +126,17 @@ def test_tasks_grow_with_the_lines(spark, basket, monkeypatch):
     for name, df in built().items():
         assert rows(df) == few[name], name
         assert df.rdd.getNumPartitions() == basket.count() > 4, name
+
+
+def test_tasks_grow_with_the_lines_below_the_sessions_number(spark, basket, monkeypatch):
+    """A large number of shuffle partitions is no reason to leave them to adaptive execution, which merges them."""
+    monkeypatch.setattr(session, "LINES_PER_TASK", 1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        tasks = session.tasks_for(spark, basket.count())
+        model = FeatureModel.fit(basket)
+        for df in (model.profiles(basket), categories.category_measure(basket, "D", tasks=tasks)):
+            assert df.rdd.getNumPartitions() == tasks == basket.count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -95,14 +95,18 @@ def stage(df: DataFrame, schema: StructType | None = None) -> DataFrame:
 
 
 def tasks_for(spark: SparkSession, lines: int) -> int:
-    """Tasks for so many lines: the session's own number, or more where a task would have over ``LINES_PER_TASK``."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines // LINES_PER_TASK))
+    """Tasks that so many lines need: none takes over ``LINES_PER_TASK``."""
+    return -(-lines // LINES_PER_TASK)
 
 
 def dealt(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
-    """``df`` laid out by ``keys`` over ``tasks``, where the session's own number of them would be too few; a grouping by
-    ``keys`` then needs no other shuffle. Else left as it is, so that the grouping combines before its shuffle."""
-    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+    """``df`` laid out by ``keys`` over ``tasks``, where these are more than can run at once; a grouping by ``keys`` then
+    needs no other shuffle. Else left as it is, so that the grouping combines before its shuffle.
+
+    The session's number of shuffle partitions does not matter: adaptive execution merges them by their stored size, down
+    to as many as can run at once, whatever a line takes when it is grouped. A number that is asked for stays.
+    """
+    if tasks <= df.sparkSession.sparkContext.defaultParallelism:
         return df
     return df.repartition(tasks, *keys)
 
