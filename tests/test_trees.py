@@ -245,6 +245,17 @@ def test_many_nets_take_their_steps_in_tasks(spark, rows, monkeypatch):
     assert np.allclose(in_tasks, all_probs(gradients.fit_nets(df, K, names, params(12))(df)), atol=1e-5)
 
 
+def test_blocks_of_wide_nets_are_small(spark, rows, monkeypatch):
+    """What a step holds of a block is bounded in bytes, whatever the width of the net."""
+    monkeypatch.setattr(blocks, "LEAST_ROWS", 8)
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 1 << 16)
+    seen = []
+    made = gradients.block_rdd
+    monkeypatch.setattr(gradients, "block_rdd", lambda *args: seen.append(made(*args)) or seen[-1])
+    gradients.fit_nets(rows[0].coalesce(1), K, [], gradients.NetParams((64, 64), 1, "adam", None, 0.5, 0.5, 1))
+    assert seen[0][0].map(len).max() <= (1 << 16) // (gradients.ROW_UNIT_BYTES * 128)
+
+
 @pytest.mark.parametrize("slopes", [True, False])
 def test_net_gradient_is_that_of_the_loss(slopes):
     rng = np.random.default_rng(2)
