@@ -299,3 +299,42 @@ def test_learners_keep_columns_and_order(rows):
     df = rows[0]
     score = models.Boosted(rounds=2, depth=2).fit(df, K)
     assert score(df).columns == ["id", "label", "fold", "probs"]
+
+
+@pytest.mark.parametrize("counted", [0, 20, 1 << 30])
+@pytest.mark.parametrize("classes", [1, 4])
+def test_rows_in_a_matrix_grow_the_same_trees(monkeypatch, counted, classes):
+    """Dense rows are counted or sorted by bin as a matrix, their entries are not sorted; the trees stay the same."""
+    rng = np.random.default_rng(3)
+    n, wide = 700, 9
+    x = rng.integers(0, 40, (n, wide)).astype(np.uint8)
+    x[:, 3] = np.where(rng.random(n) < 0.7, 5, x[:, 3])
+    zero = rng.integers(0, 40, wide).astype(np.uint8)
+    row, feature = np.nonzero(x != zero)
+    values = rng.integers(0, 4, (n, 1)) if classes > 1 else np.stack([rng.integers(-trees.GRADIENT_ONE, trees.GRADIENT_ONE, n), rng.integers(1, trees.GRADIENT_ONE, n)], 1)
+    label = rng.integers(0, classes, n)
+    gain = trees.entropy_gain if classes > 1 else trees.boosted_gain(trees.BoostParams(1, 1, 1.0, 1.0, 1.0, 2.0, 0.1, 1.8, 0.15, 1))
+    chosen = lambda grove, nodes: blocks.subsets(grove.uid[nodes], wide, 0.6, 4)
+    growth = trees.Growth(8, trees.Layout(wide, 64, classes), zero, gain, 1e-9, chosen)
+
+    def grown():
+        base = trees.Grove.of(2, 2, values.shape[1] * classes, np.ones(2, bool))
+        grove = trees.Grove.under(base, np.arange(2))
+        growth._grow_rows(grove, np.arange(n) % 2, values, label, (row, feature, x[row, feature]))
+        return [getattr(grove, name) for name in ("feature", "cut", "left", "tree", "depth", "stats", "uid")]
+
+    monkeypatch.setattr(trees, "SPARSE", 0, raising=False)
+    wanted = grown()
+    assert len(wanted[0]) > 100
+    monkeypatch.setattr(trees, "SPARSE", 1 << 30)
+    monkeypatch.setattr(trees, "COUNTED_ROWS", counted)
+    monkeypatch.setattr(trees, "AT_ONCE", 1 << 12)
+    monkeypatch.setattr(trees, "summed", None)
+    assert all(np.array_equal(a, b) for a, b in zip(grown(), wanted))
+
+
+def test_tabled_logarithms_are_the_same(monkeypatch):
+    n = np.arange(trees.TABLED, dtype=np.float64)
+    assert np.array_equal(trees.times_log(n), n * np.log(np.maximum(n, 1)))
+    over = n + 1
+    assert np.array_equal(trees.times_log(over), over * np.log(np.maximum(over, 1)))
