@@ -338,3 +338,15 @@ def test_tabled_logarithms_are_the_same(monkeypatch):
     assert np.array_equal(trees.times_log(n), n * np.log(np.maximum(n, 1)))
     over = n + 1
     assert np.array_equal(trees.times_log(over), over * np.log(np.maximum(over, 1)))
+
+
+def test_extra_trees_in_tasks_grow_the_same(spark, rows, monkeypatch):
+    """Whole trees in tasks, in one run of jobs whatever their depth, against all levels by jobs."""
+    df = rows[0].withColumns({f"_w{i}": 1 + (F.col("fold") != i).cast("int") for i in range(2)})
+    fit = lambda depth: trees.fit_extra_trees(df, K, ["_w0", "_w1"], trees.ExtraParams(6, depth, 0.5, 5))
+    whole = all_probs(fit(8)(df))
+    assert jobs_of(spark, "shallow", lambda: fit(1)) == jobs_of(spark, "deep", lambda: fit(8))
+    monkeypatch.setattr(trees, "AT_ONCE", 64)
+    assert np.array_equal(all_probs(fit(8)(df)), whole)
+    monkeypatch.setattr(trees, "EXTRA_CELLS", 0)
+    assert np.allclose(all_probs(fit(8)(df)), whole, atol=1e-12)
