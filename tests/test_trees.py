@@ -350,3 +350,46 @@ def test_extra_trees_in_tasks_grow_the_same(spark, rows, monkeypatch):
     assert np.array_equal(all_probs(fit(8)(df)), whole)
     monkeypatch.setattr(trees, "EXTRA_CELLS", 0)
     assert np.allclose(all_probs(fit(8)(df)), whole, atol=1e-12)
+
+
+def test_rounds_in_tasks_grow_the_same(spark, rows, monkeypatch):
+    """Trees that grow whole in tasks holding all rows are those of jobs over the blocks, to the bit; a round of the booster
+    is one job there, and the rounds of AdaBoost are none."""
+    df = rows[0].withColumns({f"_w{i}": (1 + i) * (F.col("fold") != i).cast("int") for i in range(3)})
+    names = [f"_w{i}" for i in range(3)]
+    boost = lambda rounds=3: trees.fit_boosted(df, K, names, trees.BoostParams(rounds, 5, 0.3, 0.8, 0.6, 0.5, 0.0, 1.0, 0.0, 4))
+    ada = lambda rounds=3: trees.fit_adaboost(df, K, names, trees.AdaParams(rounds, 5, 0.5, 0.5, 9))
+    monkeypatch.setattr(trees, "KEPT_ROWS", 16)
+    in_tasks = [all_probs(fit()(df)) for fit in (boost, ada)]
+    assert jobs_of(spark, "boost 5", lambda: boost(5)) - jobs_of(spark, "boost 2", lambda: boost(2)) == 3
+    assert jobs_of(spark, "ada 5", lambda: ada(5)) == jobs_of(spark, "ada 2", lambda: ada(2))
+    monkeypatch.setattr(trees, "BOOST_CELLS", 0)
+    monkeypatch.setattr(trees, "LOCAL_CELLS", 0)
+    for most in (1 << 15, 40, 0):
+        monkeypatch.setattr(trees, "LOCAL_ROWS", most)
+        for fit, got in zip((boost, ada), in_tasks):
+            assert np.array_equal(all_probs(fit()(df)), got)
+
+
+@pytest.mark.parametrize("kept, at_once", [(2, 1 << 21), (60, 1 << 12), (1 << 30, 1 << 21)])
+def test_children_counted_by_what_is_left_are_the_same(monkeypatch, kept, at_once):
+    rng = np.random.default_rng(5)
+    n, wide = 900, 8
+    x = rng.integers(0, 40, (n, wide)).astype(np.uint8)
+    values = np.stack([rng.integers(-trees.GRADIENT_ONE, trees.GRADIENT_ONE, n), rng.integers(1, trees.GRADIENT_ONE, n)], 1).astype(float)
+    columns = np.array([0, 2, 3, 6, 7])
+    flags = np.isin(np.arange(wide), columns)
+    gain = trees.boosted_gain(trees.BoostParams(1, 1, 1.0, 1.0, 1.0, 2.0, 0.1, 1.8, 0.15, 1))
+    growth = trees.Growth(9, trees.Layout(wide, 64, 1), x[0], gain, 1e-9, lambda grove, nodes: np.repeat(flags[None], len(nodes), axis=0))
+
+    def tree():
+        return trees.Grove.under(trees.Grove.of(1, 1, 2, np.ones(1, bool)), np.arange(1))
+
+    wanted, got = tree(), tree()
+    growth._grow_spread(wanted, np.zeros(n, int), values, np.zeros(n, int), x)
+    assert len(wanted) > 100
+    monkeypatch.setattr(trees, "KEPT_ROWS", kept)
+    monkeypatch.setattr(trees, "AT_ONCE", at_once)
+    growth._grow_shared(got, x[:, columns], values, columns)
+    for name in ("feature", "cut", "left", "depth", "stats", "uid"):
+        assert np.array_equal(getattr(got, name), getattr(wanted, name))
