@@ -1,6 +1,7 @@
 """Probabilities, models and stacking: invariants on small frames."""
 
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -88,6 +89,25 @@ def test_out_of_fold_never_sees_the_row(spark):
     assert [r.p for r in matched.distinct().collect()] == [0.0]
 
 
+def test_learners_that_fit_all_folds_overlap(separable):
+    """The rounds of one run beside the tasks of another; scores stay in the order of the learners."""
+    both = threading.Barrier(stacking.RUNS_AT_ONCE, timeout=60)
+
+    class Waits:
+        def __init__(self, name):
+            self.name = name
+
+        def fit_many(self, train, n_classes, weights):
+            both.wait()
+            even = F.array_repeat(F.array_repeat(F.lit(1.0 / n_classes), n_classes), len(weights))
+            return lambda df: df.withColumn("all_probs", even)
+
+    learners = [Waits("a"), Waits("b")]
+    inside, outside = stacking.stack_scores(separable, separable, learners, 3, 3, "id", parallelism=2)
+    for scores in (inside, outside):
+        assert {(r.model, r["count"]) for r in scores.groupBy("model").count().collect()} == {("a", 120), ("b", 120)}
+
+
 @pytest.mark.parametrize("name", ["logistic", "forest"])
 def test_two_classes_after_an_observation(spark, separable, name):
     """A session that has observed something cannot be sent to tasks, and a summary of two classes holds it."""
