@@ -245,6 +245,28 @@ def test_many_nets_take_their_steps_in_tasks(spark, rows, monkeypatch):
     assert np.allclose(in_tasks, all_probs(gradients.fit_nets(df, K, names, params(12))(df)), atol=1e-5)
 
 
+def test_fits_left_over_are_shared_by_all_cores(spark, rows, monkeypatch):
+    """Where rows are many each task has as many fits, and the rest take their steps over all cores; the nets are the same."""
+    names = [f"_w{i}" for i in range(spark.sparkContext.defaultParallelism + 1)]
+    df = rows[0].withColumns({w: (F.col("id") * 7 % (i + 2)).cast("int") for i, w in enumerate(names)})
+    params = gradients.NetParams((8, 8), 12, "adam", 0.02, 0.2, 0.2, 3)
+    wanted = all_probs(gradients.fit_nets(df, K, names, params)(df))
+    dealt, made = [], gradients.fit_groups
+    monkeypatch.setattr(gradients, "fit_groups", lambda *args: dealt.append(made(*args)) or dealt[-1])
+    monkeypatch.setattr(gradients, "SHARED_CELLS", 0)
+    assert np.allclose(all_probs(gradients.fit_nets(df, K, names, params)(df)), wanted, atol=1e-5)
+    assert [[len(fits) for fits in groups] for _, groups in dealt] == [[1] * (len(names) - 1), [1]]
+
+
+def test_sums_of_a_step_meet_in_slices(spark, rows, monkeypatch):
+    """No task adds up the gradients of a whole net."""
+    sizes, made = [], gradients.RDD.reduceByKey
+    monkeypatch.setattr(gradients.RDD, "reduceByKey", lambda self, *args: sizes.extend(self.map(lambda kv: kv[1].size).collect()) or made(self, *args))
+    gradients.fit_nets(rows[0], K, [], gradients.NetParams((40,), 1, "adam", None, 0.0, 0.0, 1))
+    whole = len(gradients.Shape((FEATURES, 40, K)))
+    assert sum(sizes) == whole and max(sizes) <= -(-whole // spark.sparkContext.defaultParallelism)
+
+
 def test_blocks_of_wide_nets_are_small(spark, rows, monkeypatch):
     """What a step holds of a block is bounded in bytes, whatever the width of the net."""
     monkeypatch.setattr(blocks, "LEAST_ROWS", 8)
