@@ -258,8 +258,57 @@ def test_fits_left_over_are_shared_by_all_cores(spark, rows, monkeypatch):
     assert [[len(fits) for fits in groups] for _, groups in dealt] == [[1] * (len(names) - 1), [1]]
 
 
+def test_few_nets_take_their_steps_in_tasks(spark, rows, monkeypatch):
+    """So do fewer fits than cores while their sums take longer to send than to add up; the nets are the same."""
+    df = rows[0].withColumns({f"_w{i}": (F.col("fold") != i).cast("int") for i in range(3)})
+    fit = lambda steps: gradients.fit_nets(df, K, ["_w0", "_w1", "_w2"], gradients.NetParams((8, 8), steps, "adam", 0.02, 0.2, 0.2, 3))
+    assert jobs_of(spark, "2 steps", lambda: fit(2)) == jobs_of(spark, "9 steps", lambda: fit(9))
+    in_tasks = all_probs(fit(9)(df))
+    monkeypatch.setattr(gradients, "TASK_CELLS", 0)
+    assert np.allclose(in_tasks, all_probs(fit(9)(df)), atol=1e-5)
+
+
+@pytest.mark.parametrize("classes", [1, 4])
+def test_gain_does_not_depend_on_the_layout_of_counts(classes):
+    rng = np.random.default_rng(7)
+    total = rng.integers(1, 1 << 30, (5, 1, max(classes, 2))).astype(float)
+    left = np.floor(total * rng.random((5, 900, max(classes, 2))))
+    gain = trees.entropy_gain if classes > 1 else trees.boosted_gain(trees.BoostParams(1, 1, 1.0, 1.0, 1.0, 2.0, 0.1, 1.8, 0.15, 1))
+    by_sum = np.moveaxis(np.ascontiguousarray(np.moveaxis(left, -1, 0)), 0, -1)
+    assert np.array_equal(gain(left, total), gain(by_sum, total))
+    assert np.array_equal(gain(left, total)[2, 7:9], gain(left[2, 7:9], total[2]))
+
+
+def test_nodes_too_light_for_two_sides_are_not_searched(monkeypatch):
+    """A node whose second sum is below twice the least of a side cannot be split: no candidate of it is priced."""
+    rng = np.random.default_rng(6)
+    n, wide = 600, 5
+    x = rng.integers(0, 40, (n, wide)).astype(np.uint8)
+    values = np.stack([rng.integers(-trees.GRADIENT_ONE, trees.GRADIENT_ONE, n), rng.integers(1, trees.GRADIENT_ONE // 2, n)], 1).astype(float)
+    params = trees.BoostParams(1, 1, 1.0, 1.0, 1.0, 8.0, 0.0, 1.8, 0.0, 1)
+    priced, plain = [], trees.boosted_gain(params)
+
+    def gain(left, total):
+        priced.append(float(total[..., 1].min()))
+        return plain(left, total)
+
+    def tree(least):
+        grove = trees.Grove.under(trees.Grove.of(1, 1, 2, np.ones(1, bool)), np.arange(1))
+        growth = trees.Growth(9, trees.Layout(wide, 64, 1), x[0], gain, 1e-9, lambda grove, nodes: np.ones((len(nodes), wide), bool), None, least)
+        growth._grow_shared(grove, x, values, np.arange(wide))
+        return [getattr(grove, name) for name in ("feature", "cut", "left", "stats")]
+
+    least = params.min_weight * trees.GRADIENT_ONE
+    wanted = tree(0.0)
+    assert min(priced) < 2 * least
+    priced.clear()
+    assert all(np.array_equal(a, b) for a, b in zip(tree(least), wanted))
+    assert min(priced) >= 2 * least
+
+
 def test_sums_of_a_step_meet_in_slices(spark, rows, monkeypatch):
     """No task adds up the gradients of a whole net."""
+    monkeypatch.setattr(gradients, "LOCAL_BYTES", 0)
     sizes, made = [], gradients.RDD.reduceByKey
     monkeypatch.setattr(gradients.RDD, "reduceByKey", lambda self, *args: sizes.extend(self.map(lambda kv: kv[1].size).collect()) or made(self, *args))
     gradients.fit_nets(rows[0], K, [], gradients.NetParams((40,), 1, "adam", None, 0.0, 0.0, 1))
