@@ -411,6 +411,40 @@ def test_tabled_logarithms_are_the_same(monkeypatch):
     assert np.array_equal(trees.times_log(over), over * np.log(np.maximum(over, 1)))
 
 
+def test_dense_rows_grow_whole_trees_beyond_entries(spark, rows, monkeypatch):
+    """Rows too many for their entries go to tasks as a matrix: jobs do not grow with the depth, the trees are the same, and
+    what reaches the driver is a few bytes a node."""
+    df = rows[0].withColumns({f"_w{i}": (1 + i) * (F.col("fold") != i).cast("int") for i in range(2)})
+    fit = lambda depth=7: trees.fit_forest(df, K, ["_w0", "_w1"], trees.ForestParams(9, depth, 0.6, 5))
+    whole = all_probs(fit()(df))
+    monkeypatch.setattr(trees, "LOCAL_CELLS", 0)
+    monkeypatch.setattr(trees, "LOCAL_ROWS", 0)
+    assert jobs_of(spark, "forest 1", lambda: fit(1)) == jobs_of(spark, "forest 7", lambda: fit(7))
+    assert np.array_equal(all_probs(fit()(df)), whole)
+    monkeypatch.setattr(trees, "SPREAD_CELLS", 0, raising=False)
+    assert np.allclose(all_probs(fit()(df)), whole, atol=1e-12)
+
+
+def test_trees_packed_one_by_one_are_those_packed_together():
+    rng = np.random.default_rng(9)
+    x = rng.integers(0, 30, (300, 4)).astype(np.uint8)
+    base = trees.Grove.of(5, 5, 3, np.ones(5, bool))
+    growth = trees.Growth(6, trees.Layout(4, 64, 3), x[0], trees.entropy_gain, 1e-9, lambda grove, nodes: np.ones((len(nodes), 4), bool))
+    groves = []
+    for t in range(5):
+        groves.append(trees.Grove.under(base, np.array([t])))
+        some = rng.integers(0, 300, 200 if t else 0)
+        if t:
+            growth._grow_spread(groves[-1], np.zeros(200, int), np.ones((200, 1), int), rng.integers(0, 3, 200), x[some])
+    one_by_one = trees.joined([trees.packed([g]) for g in groves])
+    together = trees.packed(groves)
+    assert one_by_one[0].dtype == np.int8 and one_by_one[4].dtype == np.uint8
+    assert np.array_equal(trees.reached(x, one_by_one), trees.reached(x, together))
+    at = np.stack([trees.Grove.walk(g, x, 1)[:, 0] for g in groves], 1)
+    for t, g in enumerate(groves):
+        assert np.array_equal(trees.reached(x, together)[:, t], g.stats[at[:, t]])
+
+
 def test_extra_trees_in_tasks_grow_the_same(spark, rows, monkeypatch):
     """Whole trees in tasks, in one run of jobs whatever their depth, against all levels by jobs."""
     df = rows[0].withColumns({f"_w{i}": 1 + (F.col("fold") != i).cast("int") for i in range(2)})
