@@ -108,6 +108,22 @@ def test_learners_that_fit_all_folds_overlap(separable):
         assert {(r.model, r["count"]) for r in scores.groupBy("model").count().collect()} == {("a", 120), ("b", 120)}
 
 
+def test_four_learners_overlap_where_eight_fits_may(separable):
+    all_four = threading.Barrier(4, timeout=60)
+
+    class Waits:
+        def __init__(self, name):
+            self.name = name
+
+        def fit_many(self, train, n_classes, weights):
+            all_four.wait()
+            even = F.array_repeat(F.array_repeat(F.lit(1.0 / n_classes), n_classes), len(weights))
+            return lambda df: df.withColumn("all_probs", even)
+
+    inside, _ = stacking.stack_scores(separable, None, [Waits(name) for name in "abcd"], 3, 3, "id", parallelism=8)
+    assert {(r.model, r["count"]) for r in inside.groupBy("model").count().collect()} == {(name, 120) for name in "abcd"}
+
+
 @pytest.mark.parametrize("name", ["logistic", "forest"])
 def test_two_classes_after_an_observation(spark, separable, name):
     """A session that has observed something cannot be sent to tasks, and a summary of two classes holds it."""
